@@ -77,4 +77,5 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.readStream.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
+    # A pattern, because a streaming source takes a plain path for a folder, and this may be one file.
+    return spark.readStream.schema(EVENTS).parquet(f"{sf_dir}/{{events.parquet}}")

@@ -59,11 +59,8 @@ def write_table(
 
 
 def write_load(df: DataFrame, root: str, spec: TableSpec, load_id: str) -> None:
-    """Append one micro-batch as its own ``load=`` folder; a replay of the batch replaces that folder.
-
-    No shuffle: every task writes the hours it holds. Small files are left to compaction.
-    """
-    _writer(_table_columns(df, spec), spec, "overwrite", dynamic=False).parquet(f"{root}/{LOAD}={load_id}")
+    """Append one micro-batch as its own ``load=`` folder; a replay of the batch replaces that folder."""
+    write_table(df, f"{root}/{LOAD}={load_id}", spec)
 
 
 def write_bronze(df: DataFrame, root: str, load_id: str) -> None:

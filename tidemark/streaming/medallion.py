@@ -9,7 +9,8 @@ the batch, so a batch that is replayed after a failure replaces its own output.
 from __future__ import annotations
 
 import threading
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -21,6 +22,24 @@ from tidemark.session import use_utc
 from tidemark.sources.tables import table_root, write_bronze, write_rejected, write_silver
 
 START_TIMEOUT_SECONDS = 60
+POLL_SECONDS = 1
+ADAPTIVE = "spark.sql.adaptive.enabled"
+
+
+@contextmanager
+def _adaptive_writes(session: SparkSession) -> Iterator[None]:
+    """Adaptive execution for the write of a micro-batch.
+
+    A stream's session plans without it, since window state is bound to a fixed number of
+    partitions. The write comes after the state and has no such bond, and it needs adaptive
+    execution to split a hot hour and to merge slivers: usually a batch is nearly all one hour.
+    """
+    before = session.conf.get(ADAPTIVE)
+    session.conf.set(ADAPTIVE, "true")
+    try:
+        yield
+    finally:
+        session.conf.set(ADAPTIVE, before)
 
 
 def _start(
@@ -38,7 +57,8 @@ def _start(
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         if not started.wait(START_TIMEOUT_SECONDS):
             raise RuntimeError(f"query {name} did not report its id")
-        write_batch(batch, f"{query_id[0]}-{batch_id}")
+        with _adaptive_writes(batch.sparkSession):
+            write_batch(batch, f"{query_id[0]}-{batch_id}")
 
     writer = (
         rows.writeStream.outputMode("append")
@@ -57,7 +77,7 @@ def _start(
 
 
 def start_bronze(raw: DataFrame, config: PipelineConfig, available_now: bool = False) -> StreamingQuery:
-    """Valid rows to Bronze and invalid rows to the rejected table, without a shuffle."""
+    """Valid rows to Bronze and invalid rows to the rejected table, as soon as they arrive."""
     bronze_root = table_root(config.warehouse, BRONZE)
     rejected_root = table_root(config.warehouse, REJECTED)
 
@@ -74,7 +94,7 @@ def start_bronze(raw: DataFrame, config: PipelineConfig, available_now: bool = F
 
 
 def start_silver(raw: DataFrame, config: PipelineConfig, available_now: bool = False) -> StreamingQuery:
-    """Deduplicated, masked rows of closed windows to Silver; one shuffle, into the window state."""
+    """Deduplicated, masked rows of closed windows to Silver, each once."""
     root = table_root(config.warehouse, SILVER)
     rows = to_silver(
         valid(with_event_time(raw)),
@@ -100,9 +120,22 @@ def start_medallion(
         spark.conf.set(key, value)
     queries = [start_bronze(raw, config, available_now), start_silver(raw, config, available_now)]
     if config.wait_for_job if wait is None else wait:
+        await_all(queries)
+    return queries
+
+
+def await_all(queries: list[StreamingQuery]) -> None:
+    """Block until every query has ended. When one fails, stop the others and raise its error."""
+    try:
+        while any(query.isActive for query in queries):
+            for query in queries:
+                query.awaitTermination(POLL_SECONDS)
         for query in queries:
             query.awaitTermination()
-    return queries
+    except Exception:
+        for query in queries:
+            query.stop()
+        raise
 
 
 def state_rows(query: StreamingQuery) -> int:
