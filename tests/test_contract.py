@@ -1,0 +1,76 @@
+from decimal import Decimal
+
+import pytest
+
+from helpers import event, events
+from tidemark.contract import (
+    ALERTS,
+    BRONZE,
+    CONTRACT,
+    LIQUIDITY,
+    REJECTED,
+    SILVER,
+    TABLES,
+    ContractError,
+    append_new_columns,
+    conform_to_contract,
+)
+from tidemark.operators import medallion as m
+from tidemark.operators.gold import fraud_alerts, hourly_liquidity
+
+
+def test_table_layouts():
+    base = CONTRACT.fieldNames() + ["event_time"]
+    hours = ["year", "month", "day", "hour"]
+    assert BRONZE.columns == base + ["ingest_time", *hours]
+    assert SILVER.columns == base + ["dedup_window_start", "dedup_window_end", "ingest_time", *hours]
+    assert REJECTED.columns == base + ["reject_reason", "rejected_at"]
+    assert REJECTED.partition_by == () and REJECTED.sort_by == ("rejected_at", "reject_reason")
+    for name in ("bronze.transactions", "silver.transactions", "gold.gold_fraud_alerts", "gold.gold_hourly_liquidity"):
+        assert list(TABLES[name].partition_by) == hours
+    assert CONTRACT["amount"].dataType.simpleString() == "decimal(18,2)"
+    assert CONTRACT["event_time_epoch_us"].dataType.simpleString() == "bigint"
+    assert "timestamp" not in CONTRACT.fieldNames()
+
+
+def test_operators_produce_the_declared_schemas(spark, salt):
+    timed = m.with_event_time(events(spark, event()))
+    silver = m.to_silver(m.valid(timed), salt)
+    produced = {
+        BRONZE: m.to_bronze(m.valid(timed)),
+        REJECTED: m.to_rejected(m.invalid(timed)),
+        SILVER: silver,
+        ALERTS: fraud_alerts(silver),
+        LIQUIDITY: hourly_liquidity(silver),
+    }
+    for spec, df in produced.items():
+        assert df.dtypes == [(f.name, f.dataType.simpleString()) for f in spec.schema], spec.name
+
+
+def test_conform_fills_widens_and_keeps_extras(spark):
+    old = spark.createDataFrame(
+        [("x", 7, Decimal("1.5"), "t1")], "extra string, event_time_epoch_us int, amount decimal(10,1), transaction_id string"
+    )
+    got = conform_to_contract(old)
+    assert got.columns == CONTRACT.fieldNames() + ["extra"]
+    row = got.first()
+    assert (row.event_time_epoch_us, row.amount, row.transaction_id) == (7, Decimal("1.50"), "t1")
+    assert row.is_flagged_suspicious is False and row.location is None and row.extra == "x"
+    assert dict(got.dtypes)["event_time_epoch_us"] == "bigint"
+
+
+def test_conform_keeps_null_flags(spark):
+    df = events(spark, event(is_flagged_suspicious=None))
+    assert conform_to_contract(df).first().is_flagged_suspicious is None
+
+
+@pytest.mark.parametrize("column", ["event_time_epoch_us string", "amount double", "amount decimal(20,2)"])
+def test_conform_refuses_changed_types(spark, column):
+    with pytest.raises(ContractError):
+        conform_to_contract(spark.createDataFrame([], column))
+
+
+def test_new_columns_go_last():
+    wider = append_new_columns(LIQUIDITY.schema, SILVER.schema)
+    assert wider.fieldNames()[: len(LIQUIDITY.columns)] == LIQUIDITY.columns
+    assert set(wider.fieldNames()) == set(LIQUIDITY.columns) | set(SILVER.columns)

@@ -1,0 +1,102 @@
+from datetime import datetime
+from decimal import Decimal
+
+from pyspark.sql import functions as F
+
+from helpers import at, event, events, multiset
+from tidemark.functions import mask_pii
+from tidemark.operators import medallion as m
+
+
+def test_valid_and_invalid_split_every_row(spark):
+    df = m.with_event_time(
+        events(
+            spark,
+            event("ok"),
+            event(None),
+            event("no-epoch", event_time_epoch_us=None),
+            event("millis", epoch=at(1) // 1000),
+            event("nanos", epoch=at(1) * 10),
+            event(None, epoch=at(1) * 10),
+        )
+    )
+    assert [r.transaction_id for r in m.valid(df).collect()] == ["ok"]
+    reasons = m.with_reject_reason(m.invalid(df)).select("transaction_id", "reject_reason").collect()
+    assert sorted(map(tuple, reasons), key=str) == sorted(
+        [
+            (None, "MISSING_TRANSACTION_ID"),
+            (None, "MISSING_TRANSACTION_ID"),
+            ("no-epoch", "MISSING_EVENT_TIME_EPOCH_US"),
+            ("millis", "INVALID_EVENT_TIME"),
+            ("nanos", "INVALID_EVENT_TIME"),
+        ],
+        key=str,
+    )
+
+
+def test_missing_account_is_not_a_reason_to_reject(spark):
+    df = m.with_event_time(events(spark, event(account_id=None)))
+    assert m.valid(df).count() == 1 and m.invalid(df).count() == 0
+
+
+def test_bronze_keeps_duplicates_and_both_precisions(spark):
+    epoch = at(22.123456)
+    rows = m.to_bronze(m.valid(m.with_event_time(events(spark, event("t", epoch), event("t", epoch))))).collect()
+    assert len(rows) == 2
+    assert rows[0].event_time == datetime(2026, 5, 30, 12, 34, 22, 123000)
+    assert rows[0].event_time_epoch_us == epoch
+    assert (rows[0].year, rows[0].month, rows[0].day, rows[0].hour) == (2026, 5, 30, 12)
+    assert rows[0].ingest_time is not None
+
+
+def test_dedup_is_per_window_and_column_wise(spark):
+    df = m.with_event_time(
+        events(
+            spark,
+            event("t", at(1), amount=Decimal("9.00"), account_id="b", location=None, is_flagged_suspicious=None),
+            event("t", at(2), amount=Decimal("3.00"), account_id="c", location="x", is_flagged_suspicious=True),
+            event("t", at(59.999), amount=None, account_id="a"),
+            event("t", at(60.0)),
+            event("u", at(1), is_flagged_suspicious=None),
+        )
+    )
+    rows = {(r.transaction_id, r.dedup_window_start.minute): r for r in m.dedup_window(df).collect()}
+    assert set(rows) == {("t", 34), ("t", 35), ("u", 34)}
+    first = rows["t", 34]
+    assert (first.amount, first.account_id) == (Decimal("3.00"), "a")
+    assert first.location == "Springfield, US" and first.is_flagged_suspicious is True
+    assert first.event_time_epoch_us == at(1)
+    assert rows["u", 34].is_flagged_suspicious is False
+
+
+def test_dedup_equals_minimum_of_event_times(spark):
+    df = m.with_event_time(events(spark, *[event(f"t{i % 5}", at(i * 0.7301)) for i in range(200)]))
+    direct = df.groupBy("transaction_id", F.window("event_time", "1 minute").alias("w")).agg(
+        F.min("event_time").alias("event_time")
+    )
+    direct = direct.select("transaction_id", F.col("w.start").alias("dedup_window_start"), "event_time")
+    got = m.dedup_window(df).select(direct.columns)
+    assert multiset(got) == multiset(direct)
+
+
+def test_wider_windows(spark, salt):
+    df = m.valid(m.with_event_time(events(spark, event("t", at(1)), event("t", at(58)), event("t", at(61)))))
+    assert m.to_silver(df, salt, minutes=1).count() == 2
+    only = m.to_silver(df, salt, minutes=5).collect()
+    assert [(r.dedup_window_start.minute, r.dedup_window_end.minute) for r in only] == [(30, 35), (35, 40)]
+
+
+def test_mask_follows_the_minimum(spark, salt):
+    df = m.valid(m.with_event_time(events(spark, event(account_id="z"), event(account_id="a"), event("n", device_id=None))))
+    rows = {r.transaction_id: r for r in m.to_silver(df, salt).collect()}
+    masked = spark.range(1).select(
+        mask_pii(F.lit("a"), salt, "ACC-SHA256-"), mask_pii(F.lit(None).cast("string"), salt, "DEV-SHA256-")
+    ).first()
+    assert rows["t1"].account_id == masked[0]
+    assert rows["n"].device_id == masked[1]
+
+
+def test_silver_sample_is_repeatable(spark, salt):
+    df = m.valid(m.with_event_time(events(spark, *[event(f"t{i}", at(i)) for i in range(9)])))
+    sample = [r.transaction_id for r in m.silver_sample(m.to_silver(df, salt)).collect()]
+    assert sample == ["t0", "t1", "t2", "t3", "t4"]

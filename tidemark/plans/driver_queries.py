@@ -403,7 +403,7 @@ def compact_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = hourly_liquidity(stored_silver(spark, sf_dir))
     root = table_root(shared_folder(spark, "warehouse"), LIQUIDITY)
     (
-        rows.repartition(2, "currency")
+        rows.repartition(*LIQUIDITY.partition_by, F.crc32("currency") % 2)
         .write.mode("overwrite")
         .partitionBy(*LIQUIDITY.partition_by)
         .parquet(root)
