@@ -15,14 +15,18 @@ def _with_columns_of(df: DataFrame, other: DataFrame) -> DataFrame:
 
 
 def _refuse_double_matches(target: DataFrame, updates: DataFrame, key: str) -> DataFrame:
-    """No rows; fails the job when two update rows claim the same target row.
+    """No rows, in the columns of ``target``; fails the job when two update rows claim one target row.
 
     Repeated update keys are normally absent, in which case adaptive execution drops the join with
-    the target.
+    the target. The error hangs on an aggregate, below which the optimizer cannot move it.
     """
     repeated = updates.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(key)
-    message = F.concat(F.lit(f"several update rows match one target row, {key} = "), F.col(key).cast("string"))
-    return target.join(repeated, key, "left_semi").where(F.raise_error(message).isNotNull())
+    claimed = target.select(key).join(repeated, key, "left_semi").agg(F.max(key).alias("claimed"))
+    message = F.concat(F.lit(f"several update rows match one target row, {key} = "), F.col("claimed").cast("string"))
+    failing = F.when(F.col("claimed").isNotNull(), F.raise_error(message).cast("string"))
+    return claimed.where(failing.isNotNull()).select(
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in target.schema]
+    )
 
 
 def merge_incremental(

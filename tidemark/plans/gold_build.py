@@ -6,7 +6,6 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.contract import ALERTS, HOUR_COLUMNS, LIQUIDITY, TableSpec
@@ -14,7 +13,7 @@ from tidemark.functions.partition_hours import cutoff_hour_key
 from tidemark.operators.gold import earliest_alerts, fraud_alerts, hourly_liquidity, in_hours
 from tidemark.operators.merge import merge_incremental
 from tidemark.session import shared_folder, use_utc
-from tidemark.sources.tables import read_table, table_root, write_table
+from tidemark.sources.tables import open_table, read_table, table_root, write_table
 
 LOOKBACK_HOURS = 48
 
@@ -34,16 +33,6 @@ MODELS = {
 }
 
 
-def _open(spark: SparkSession, root: str, spec: TableSpec) -> DataFrame | None:
-    """The table at ``root``, or None before its first build."""
-    try:
-        return read_table(spark, root, spec)
-    except AnalysisException as exc:
-        if exc.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-
-
 def build_gold(
     spark: SparkSession,
     model: str | GoldModel,
@@ -68,7 +57,7 @@ def build_gold(
     cutoff = cutoff_hour_key(as_of, lookback_hours)
     updates = model.incremental(silver, cutoff_key=cutoff, **bounds)
     spec = model.spec.with_columns(updates.schema)
-    target = None if full_refresh else _open(spark, root, spec)
+    target = None if full_refresh else open_table(spark, root, spec)
     if target is None:
         write_table(model.full(silver, **bounds), root, spec)
     else:

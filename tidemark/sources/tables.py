@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,6 +23,16 @@ def read_table(spark: SparkSession, root: str, spec: TableSpec) -> DataFrame:
     return spark.read.schema(spec.schema).parquet(root).select(spec.columns)
 
 
+def open_table(spark: SparkSession, root: str, spec: TableSpec) -> DataFrame | None:
+    """Same as :func:`read_table`, or None where nothing has been written yet."""
+    try:
+        return read_table(spark, root, spec)
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def read_silver(spark: SparkSession, root: str) -> DataFrame:
     return read_table(spark, root, TABLES["silver.transactions"])
 
@@ -117,7 +128,8 @@ def _catalog_partitions(spec: TableSpec) -> list[str]:
     return [*([LOAD] if spec.streamed else []), *spec.partition_by]
 
 
-def recover_partitions(spark: SparkSession) -> None:
+def recover_partitions(spark: SparkSession, warehouse: str) -> None:
+    """Make partitions written since :func:`create_tables` visible to SQL."""
     for spec in TABLES.values():
-        if _catalog_partitions(spec):
+        if _catalog_partitions(spec) and open_table(spark, table_root(warehouse, spec), spec) is not None:
             spark.catalog.recoverPartitions(spec.name)
