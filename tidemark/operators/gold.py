@@ -30,7 +30,8 @@ def _present(df: DataFrame, *columns: str) -> DataFrame:
 
 def alert_candidates(silver: DataFrame) -> DataFrame:
     """Silver rows that satisfy the fraud rule, still with their Silver columns."""
-    return _present(silver, "transaction_id", "event_time", "event_time_epoch_us", "amount").where(fraud_rule())
+    rows = _present(silver, "transaction_id", "event_time", "event_time_epoch_us", "amount")
+    return rows.where(fraud_rule())
 
 
 def to_alerts(candidates: DataFrame) -> DataFrame:
