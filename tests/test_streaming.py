@@ -46,10 +46,9 @@ class Stream:
 
 @pytest.fixture()
 def stream(spark, tmp_path, salt):
-    shuffle = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
     yield Stream(spark, str(tmp_path), salt)
-    spark.conf.set("spark.sql.shuffle.partitions", shuffle)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before != "2"
 
 
 def test_windows_close_once_and_late_rows_are_dropped(stream):
@@ -64,6 +63,8 @@ def test_windows_close_once_and_late_rows_are_dropped(stream):
     query = stream.step(event("z", at(300)))
     assert stream.silver() == [("a", 34), ("a", 35), ("b", 34), ("c", 35), ("d", 35)]
     assert state_rows(query) == 1
+    assert query.lastProgress["stateOperators"][0]["numShufflePartitions"] == 2
+    assert "rocksdbCommitCheckpointLatency" in query.lastProgress["stateOperators"][0]["customMetrics"]
     # A run without new data emits nothing again.
     stream.step()
     assert len(stream.silver()) == 5
@@ -87,7 +88,7 @@ def test_one_file_per_batch_equals_batch_result(spark, stream, salt):
     for i in range(0, 160, 40):
         stream.add(*rows[i : i + 40])
     stream.add(event("closing", at(7200)))
-    queries = start_medallion(spark, stream.source(max_files=1), stream.config, wait=True, available_now=True)
+    queries = start_medallion(stream.source(max_files=1), stream.config, wait=True, available_now=True)
     assert all(not q.isActive for q in queries)
     batch = m.to_silver(m.valid(m.with_event_time(events(spark, *rows))), salt)
     columns = [c for c in SILVER.columns if c != "ingest_time"]
@@ -129,9 +130,9 @@ def test_failed_query_is_reported(stream):
         await_all([start_bronze(broken, stream.config, available_now=True)])
 
 
-def test_detached_start(spark, stream):
+def test_detached_start(stream):
     stream.add(event("a", at(1)))
-    queries = start_medallion(spark, stream.source(), stream.config)
+    queries = start_medallion(stream.source(), stream.config)
     try:
         assert [q.name for q in queries] == ["bronze", "silver"] and all(q.isActive for q in queries)
     finally:

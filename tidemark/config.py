@@ -10,6 +10,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 from tidemark.contract import TABLES, TableSpec
+from tidemark.session import STATE_CONF
 
 LOGGER = logging.getLogger(__name__)
 
@@ -93,12 +94,9 @@ class PipelineConfig:
         return self.dedup_window_minutes + math.ceil(self.watermark_lateness_seconds / 60) + 5
 
     @property
-    def session_conf(self) -> dict[str, str]:
-        """Settings that must be in place before a stream's first start."""
-        return {
-            "spark.sql.session.timeZone": "UTC",
-            "spark.sql.shuffle.partitions": str(self.parallelism),
-        }
+    def stream_conf(self) -> dict[str, str]:
+        """Session settings a stream takes over when it starts; its first start fixes the parallelism."""
+        return {"spark.sql.shuffle.partitions": str(self.parallelism), **STATE_CONF}
 
     @classmethod
     def from_env(cls, env: Mapping[str, str] | None = None) -> PipelineConfig:

@@ -8,11 +8,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.config import parse_size
+from tidemark.config import parse_size, parse_tables, table_for
 from tidemark.contract import TableSpec
 from tidemark.functions.partition_hours import partition_hour_key
 from tidemark.operators.gold import in_hours
-from tidemark.sources.tables import read_table, write_table
+from tidemark.sources.tables import read_table, table_root, write_table
 
 # Files below the threshold count as small; the target is the size of a full file.
 SMALL_FILE = "64MB"
@@ -142,3 +142,29 @@ def compact_partitions(
         files_before=sum(h.files for h in hours),
         files_planned=sum(h.wanted_files if h.rewrite else h.files for h in hours),
     )
+
+
+def compact_tables(
+    spark: SparkSession,
+    warehouse: str,
+    names: str,
+    threshold: str = SMALL_FILE,
+    target: str = FULL_FILE,
+    start_key: int | None = None,
+    end_key: int | None = None,
+) -> dict[str, Compaction]:
+    """Compact a comma-separated list of ``catalog.schema.table`` names, one after the other.
+
+    Gold tables are compacted in place, streamed ones into ``<warehouse>/compacted``.
+    """
+    reports = {}
+    for name in parse_tables(names):
+        spec = table_for(name)
+        src = table_root(warehouse, spec)
+        dst = table_root(compacted_root(warehouse), spec) if spec.streamed else src
+        reports[name] = compact_partitions(spark, src, dst, spec, threshold, target, start_key, end_key)
+    return reports
+
+
+def compacted_root(warehouse: str) -> str:
+    return f"{warehouse.rstrip('/')}/compacted"

@@ -366,7 +366,7 @@ def stream_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_medallion_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both queries over one source, then the rows that reached each sink."""
     source, config = _stream(spark, sf_dir)
-    start_medallion(spark, source, config, wait=True, available_now=True)
+    start_medallion(source, config, wait=True, available_now=True)
     sinks = (BRONZE, REJECTED, SILVER)
     return count_rows({s.name: read_table(spark, table_root(config.warehouse, s), s) for s in sinks})
 

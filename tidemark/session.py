@@ -5,10 +5,18 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
-# Settings for a new session. The first group is required for right results, the rest is sizing.
+# Window state lives off-heap and is checkpointed as a change log.
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+# Settings for a new session: the time zone is required for right results, the rest is sizing.
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -17,10 +25,7 @@ SESSION_CONF = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.parquet.compression.codec": "zstd",
-    # Window state lives off-heap and is checkpointed as a change log.
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    **STATE_CONF,
 }
 
 
@@ -33,6 +38,22 @@ def with_settings(builder: SparkSession.Builder, parallelism: int | None = None)
     return builder
 
 
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Session settings for the duration of a block."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def use_utc(spark: SparkSession) -> SparkSession:
     """Pin the session time zone, which the hour columns and window bounds depend on."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")

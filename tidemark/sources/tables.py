@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.contract import TABLES, TableSpec, append_new_columns
+from tidemark.functions.partition_hours import partition_hour_filter
 
 LOAD = "load"
 
@@ -33,6 +34,18 @@ def open_table(spark: SparkSession, root: str, spec: TableSpec) -> DataFrame | N
         return None
 
 
+def read_with_compacted(
+    spark: SparkSession, live: str, compacted: str, spec: TableSpec, through_key: int
+) -> DataFrame:
+    """A streamed table whose hours up to ``through_key`` come from their compacted copy.
+
+    Both branches prune by partition, so the many small files of closed hours are not opened, and
+    loads that hold closed hours only may be removed from the live root.
+    """
+    closed = read_table(spark, compacted, spec).where(partition_hour_filter("<=", through_key))
+    return closed.unionByName(read_table(spark, live, spec).where(partition_hour_filter(">", through_key)))
+
+
 def read_silver(spark: SparkSession, root: str) -> DataFrame:
     return read_table(spark, root, TABLES["silver.transactions"])
 

@@ -9,37 +9,23 @@ the batch, so a batch that is replayed after a failure replaces its own output.
 from __future__ import annotations
 
 import threading
-from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.config import PipelineConfig
 from tidemark.contract import BRONZE, REJECTED, SILVER
 from tidemark.operators.medallion import invalid, to_bronze, to_rejected, to_silver, valid, with_event_time
-from tidemark.session import use_utc
+from tidemark.session import settings, use_utc
 from tidemark.sources.tables import table_root, write_bronze, write_rejected, write_silver
 
 START_TIMEOUT_SECONDS = 60
 POLL_SECONDS = 1
-ADAPTIVE = "spark.sql.adaptive.enabled"
-
-
-@contextmanager
-def _adaptive_writes(session: SparkSession) -> Iterator[None]:
-    """Adaptive execution for the write of a micro-batch.
-
-    A stream's session plans without it, since window state is bound to a fixed number of
-    partitions. The write comes after the state and has no such bond, and it needs adaptive
-    execution to split a hot hour and to merge slivers: usually a batch is nearly all one hour.
-    """
-    before = session.conf.get(ADAPTIVE)
-    session.conf.set(ADAPTIVE, "true")
-    try:
-        yield
-    finally:
-        session.conf.set(ADAPTIVE, before)
+# A stream's session plans without adaptive execution, since window state is bound to a fixed number
+# of partitions. The write of a micro-batch comes after the state and has no such bond, and it needs
+# adaptive execution to split a hot hour and merge slivers: usually a batch is nearly all one hour.
+ADAPTIVE_WRITES = {"spark.sql.adaptive.enabled": "true"}
 
 
 def _start(
@@ -57,7 +43,7 @@ def _start(
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         if not started.wait(START_TIMEOUT_SECONDS):
             raise RuntimeError(f"query {name} did not report its id")
-        with _adaptive_writes(batch.sparkSession):
+        with settings(batch.sparkSession, ADAPTIVE_WRITES):
             write_batch(batch, f"{query_id[0]}-{batch_id}")
 
     writer = (
@@ -70,7 +56,8 @@ def _start(
         writer = writer.trigger(availableNow=True)
     else:
         writer = writer.trigger(processingTime=f"{config.trigger_interval_ms} milliseconds")
-    query = writer.start()
+    with settings(use_utc(rows.sparkSession), config.stream_conf):
+        query = writer.start()
     query_id.append(query.id)
     started.set()
     return query
@@ -108,16 +95,12 @@ def start_silver(raw: DataFrame, config: PipelineConfig, available_now: bool = F
 
 
 def start_medallion(
-    spark: SparkSession,
     raw: DataFrame,
     config: PipelineConfig,
     wait: bool | None = None,
     available_now: bool = False,
 ) -> list[StreamingQuery]:
     """Start both queries over one source; with ``wait`` (default: the config's choice) block until they end."""
-    use_utc(spark)
-    for key, value in config.session_conf.items():
-        spark.conf.set(key, value)
     queries = [start_bronze(raw, config, available_now), start_silver(raw, config, available_now)]
     if config.wait_for_job if wait is None else wait:
         await_all(queries)
