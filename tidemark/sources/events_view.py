@@ -35,36 +35,42 @@ def _pick(index: Column, values: tuple[str, ...], otherwise: str | None = None)
 
 
 def transactions_from_events(events: DataFrame) -> DataFrame:
-    """One pass over ``events``: each row yields itself and its copies through a generator."""
+    """One pass over ``events``: a generator yields each row and its copy, with their epochs and values.
+
+    Because the generator yields finished epochs, later steps refer to a column where they would
+    otherwise repeat the rule in every filter and window bound.
+    """
     e, u = F.col("event_id"), F.col("user_id")
-    copies = F.array_compact(
-        F.array(
-            F.lit(0),
-            F.when(e % 10 == 4, F.lit(1)),
-            F.when(e % 100 == 5, F.lit(2)),
-            F.when(e % 100 == 6, F.lit(3)),
-        )
+    us, value = F.col("us"), F.col("value")
+    epoch = (
+        F.when(e % 50 == 1, F.call_function("div", us, F.lit(1000)))
+        .when(e % 50 == 2, us * 10)
+        .when(e % 50 != 0, us)
     )
-    copied = events.select(
-        e, u, "event_type", "value", epoch_micros(F.col("ts")).alias("us"), F.explode(copies).alias("copy_no")
+
+    def one(epoch: Column, value: Column) -> Column:
+        return F.struct(epoch.alias("epoch"), value.alias("value"))
+
+    plain = one(epoch, value)
+    # The conditions exclude each other, so a row has one copy at most.
+    copies = (
+        F.when(e % 10 == 4, F.array(plain, plain))
+        .when(e % 100 == 5, F.array(plain, one(epoch, value + F.lit(0.01))))
+        .when(e % 100 == 6, F.array(plain, one(us + TWO_MINUTES_US, value)))
+        .otherwise(F.array(plain))
     )
-    us = F.col("us") + F.when(F.col("copy_no") == 3, F.lit(TWO_MINUTES_US)).otherwise(F.lit(0))
-    value = F.when(F.col("copy_no") == 2, F.col("value") + F.lit(0.01)).otherwise(F.col("value"))
+    timed = events.select("event_id", "user_id", "event_type", "value", epoch_micros(F.col("ts")).alias("us"))
+    copied = timed.select("event_id", "user_id", "event_type", F.inline(copies))
 
     def unless(remainder: int, column: Column) -> Column:
         return F.when(e % 50 != remainder, column)
 
-    epoch = (
-        F.when(e % 50 == 1, F.call_function("div", us, F.lit(1000)))
-        .when(e % 50 == 2, us * 10)
-        .when(e % 50 != 0, us)
-    )
     columns = {
         "transaction_id": unless(3, F.concat(F.lit("txn_"), e.cast("string"))),
         "account_id": unless(17, F.concat(F.lit("acct_"), u.cast("string"))),
-        "amount": unless(19, F.round(value * 100).cast("decimal(18,2)")),
+        "amount": unless(19, F.round(F.col("value") * 100).cast("decimal(18,2)")),
         "currency": unless(21, _pick(u % 5, CURRENCIES)),
-        "event_time_epoch_us": epoch,
+        "event_time_epoch_us": F.col("epoch"),
         "device_id": unless(18, F.concat(F.lit("dev_"), (u % 97).cast("string"))),
         "location": unless(20, _pick(u % 8, PLACES, ELSEWHERE)),
         "is_flagged_suspicious": unless(22, (F.col("event_type") == "error") & (e % 4 == 0)),
