@@ -13,6 +13,10 @@ from tidemark.contract import TABLES, TableSpec, append_new_columns
 from tidemark.functions.partition_hours import partition_hour_filter
 
 LOAD = "load"
+# Partitions before adaptive execution merges and splits them. Enough to keep hours apart, since a
+# partition that is split gives each part a share of all its hours; below 2000, from where on shuffle
+# statistics are averages that hide a hot hour.
+REBALANCE_PARTITIONS = 1024
 
 
 def table_root(warehouse: str, spec: TableSpec) -> str:
@@ -78,7 +82,7 @@ def write_table(
     """
     rows = _table_columns(df, spec)
     if rebalance:
-        rows = rows.hint("rebalance", *spec.partition_by)
+        rows = rows.hint("rebalance", REBALANCE_PARTITIONS, *spec.partition_by)
     _writer(rows, spec, "overwrite", dynamic).parquet(root)
 
 
