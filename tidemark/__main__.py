@@ -34,6 +34,8 @@ def parser() -> argparse.ArgumentParser:
     commands.add_parser("init", help="create namespaces and register the tables in the catalog")
     stream = commands.add_parser("stream", help="run the Bronze and Silver streams")
     stream.add_argument("--path", help="folder of Parquet events instead of the Kafka topic")
+    stream.add_argument("--max-files", type=int, help="files of --path per micro-batch")
+    stream.add_argument("--max-offsets", type=int, help="topic records per micro-batch")
     stream.add_argument("--available-now", action="store_true", help="process what is there, then end")
     gold = commands.add_parser("gold", help="build or update the Gold tables")
     gold.add_argument("--model", choices=sorted(MODELS), action="append")
@@ -64,9 +66,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         recover_partitions(spark, warehouse)
     elif args.command == "stream":
         if args.path:
-            raw = read_transactions_stream(spark, args.path)
+            raw = read_transactions_stream(spark, args.path, args.max_files)
         else:
-            raw = read_transactions_kafka(spark, config.kafka_bootstrap_servers, config.source_topic)
+            raw = read_transactions_kafka(
+                spark, config.kafka_bootstrap_servers, config.source_topic, max_offsets=args.max_offsets
+            )
         # The process ends with its last thread, so a detached start only makes sense within a session.
         start_medallion(raw, config, wait=True, available_now=args.available_now)
     elif args.command == "gold":

@@ -29,12 +29,19 @@ SESSION_CONF = {
 }
 
 
+# Batch shuffles of a cluster session start from many partitions, which adaptive execution merges to
+# the advisory size. Statistics of that many partitions are averages, unless skewed ones are recorded.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "16384",
+    "spark.shuffle.accurateBlockSkewedFactor": "5",
+}
+
+
 def with_settings(builder: SparkSession.Builder, parallelism: int | None = None) -> SparkSession.Builder:
-    """Apply :data:`SESSION_CONF` to a session builder."""
-    for key, value in SESSION_CONF.items():
+    """Apply :data:`SESSION_CONF` to a session builder, with a fixed shuffle parallelism or the cluster's."""
+    sizing = CLUSTER_CONF if parallelism is None else {"spark.sql.shuffle.partitions": str(parallelism)}
+    for key, value in {**SESSION_CONF, **sizing}.items():
         builder = builder.config(key, value)
-    if parallelism is not None:
-        builder = builder.config("spark.sql.shuffle.partitions", str(parallelism))
     return builder
 
 
