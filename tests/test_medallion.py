@@ -100,3 +100,43 @@ def test_silver_sample_is_repeatable(spark, salt):
     df = m.valid(m.with_event_time(events(spark, *[event(f"t{i}", at(i)) for i in range(9)])))
     sample = [r.transaction_id for r in m.silver_sample(m.to_silver(df, salt)).collect()]
     assert sample == ["t0", "t1", "t2", "t3", "t4"]
+
+
+def test_hot_id_is_combined_before_the_shuffle(spark, salt):
+    """A third of all rows are copies of one event: each map task sends one row for them."""
+    rows = spark.range(0, 9000, 1, 6).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("transaction_id"),
+        F.lit("acct_1").alias("account_id"),
+        (F.lit(1) + F.col("id") % 7).cast("decimal(18,2)").alias("amount"),
+        F.lit("USD").alias("currency"),
+        F.lit(at(1)).alias("event_time_epoch_us"),
+        F.lit("dev_1").alias("device_id"),
+        F.lit("x").alias("location"),
+        (F.col("id") == 3).alias("is_flagged_suspicious"),
+    )
+    silver = m.to_silver(m.valid(m.with_event_time(rows)), salt)
+    got = silver.collect()
+    assert len(got) == 6001
+    hot = next(r for r in got if r.transaction_id == "hot")
+    assert hot.amount == Decimal("1.00") and hot.is_flagged_suspicious is True
+    exchanges = _shuffle_rows(silver)
+    assert exchanges == [6000 + 6]
+
+
+def _shuffle_rows(df):
+    """Rows written by each shuffle of a finished query."""
+    found, queue = [], [df._jdf.queryExecution().executedPlan()]
+    while queue:
+        node = queue.pop()
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            queue.append(node.executedPlan())
+            continue
+        if name.endswith("QueryStageExec"):
+            queue.append(node.plan())
+            continue
+        if name == "ShuffleExchangeExec":
+            found.append(node.metrics().apply("shuffleRecordsWritten").value())
+        children = node.children()
+        queue += [children.apply(i) for i in range(children.size())]
+    return found

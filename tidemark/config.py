@@ -26,7 +26,7 @@ def check_salt(salt: str | None) -> str:
     if not salt:
         raise ValueError("PII_HASH_SALT is required")
     if not re.fullmatch(r"[0-9a-fA-F]{%d,}" % SALT_DIGITS, salt):
-        raise ValueError(f"PII_HASH_SALT must be at least {SALT_DIGITS} hex characters")
+        raise ValueError(f"PII_HASH_SALT needs {SALT_DIGITS} or more hex digits")
     return salt
 
 

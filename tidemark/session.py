@@ -31,7 +31,9 @@ SESSION_CONF = {
 
 # Batch shuffles of a cluster session start from many partitions, which adaptive execution merges to
 # the advisory size. Statistics of that many partitions are averages, unless skewed ones are recorded.
+# Larger scan tasks keep the number of map outputs, and with it the blocks of a shuffle, in bounds.
 CLUSTER_CONF = {
+    "spark.sql.files.maxPartitionBytes": "512m",
     "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "16384",
     "spark.shuffle.accurateBlockSkewedFactor": "5",
 }
