@@ -9,6 +9,7 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.llm.tables import read
 
@@ -49,3 +50,15 @@ def op6_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.llm.simhash_anchors import near_duplicates
 
     return near_duplicates(read(spark, sf_dir, "documents"))
+
+
+@_query
+def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm.bpe_transducer import decoded, encoded
+
+    return decoded(encoded(read(spark, sf_dir, "documents"))).select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.encode("text", "utf-8"), 256).alias("decoded_sha256"),
+    )
