@@ -28,13 +28,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.pieces import PieceMemory
+from tidemark.llm.tables import portions
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 STATES = 300_000
 #: Ids turned to bytes at once when decoding.
 CHUNK = 1 << 15
-#: Characters of texts that are encoded together.
-TOGETHER = 4_000_000
 
 _START = -1
 _NEVER = float("inf")
@@ -254,7 +253,7 @@ def encoded(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory = _memory(vocabulary)
         for batch in batches:
-            for part in _portions(batch):
+            for part in portions(batch, 1):
                 ids = memory.encode([text or "" for text in part.column(1).to_pylist()])
                 counts = pa.array([len(x) // 4 for x in ids], pa.int64())
                 yield pa.RecordBatch.from_arrays(
@@ -265,19 +264,6 @@ def encoded(
     return rows.mapInArrow(run, "doc_id long, n_tokens long, ids binary")
 
 
-def _portions(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch with a bounded length of text, or one row."""
-    sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
-    start, held = 0, 0
-    for row, size in enumerate(sizes.tolist()):
-        if held and held + size > TOGETHER:
-            yield batch.slice(start, row - start)
-            start, held = row, 0
-        held += size
-    if start < batch.num_rows:
-        yield batch.slice(start)
-
-
 def decoded(encodings: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """``encodings`` (doc_id, n_tokens, ids) with the ``text`` of the ids; null ids count as none."""
 

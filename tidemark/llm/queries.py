@@ -62,3 +62,11 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.encode("text", "utf-8"), 256).alias("decoded_sha256"),
     )
+
+
+@_query
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm.token_files import read_token_files, write_token_files
+
+    files = write_token_files(read(spark, sf_dir, "documents"))
+    return read_token_files(files).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))

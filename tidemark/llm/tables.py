@@ -6,11 +6,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.session import shared_folder
 
+#: Bytes of text that a task works on at once, if a single text is not longer.
+TOGETHER = 4_000_000
 #: Stands for a missing id while rows are grouped and linked: it sorts before every other id.
 NO_ID = -(2**63)
 
@@ -35,6 +38,19 @@ def given_id(column: Column) -> Column:
     return F.nullif(column, F.lit(NO_ID))
 
 
+def portions(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with a bounded length of the texts in a column, or one row."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
+    start, held = 0, 0
+    for row, size in enumerate(sizes):
+        if held and held + size > TOGETHER:
+            yield batch.slice(start, row - start)
+            start, held = row, 0
+        held += size
+    if start < batch.num_rows:
+        yield batch.slice(start)
+
+
 def whole_groups(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[pa.Table]:
     """Cut batches of rows sorted by ``keys`` so that no group is spread over two of the tables.
 
