@@ -110,7 +110,7 @@ class TokenReader:
         if magic != MAGIC:
             raise ValueError("not a file of token ids")
         blocks = -(-self.ids // self.block)
-        raw = source.read_at(size - TRAILER.size - tables, tables)
+        raw = source.read_at(tables, size - TRAILER.size - tables)
         if len(raw) != 8 * (blocks + 1 + docs + docs + 1):
             raise ValueError("the file's tables are cut short")
         self.offsets = np.frombuffer(raw, "<u8", blocks + 1).astype(np.int64)
