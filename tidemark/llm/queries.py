@@ -70,3 +70,10 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     files = write_token_files(read(spark, sf_dir, "documents"))
     return read_token_files(files).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@_query
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm.warc import read_archives, write_archives
+
+    return read_archives(write_archives(read(spark, sf_dir, "pages")), payloads=False).drop("payload")
