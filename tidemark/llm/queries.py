@@ -8,7 +8,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.tables import read
@@ -77,3 +77,23 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.llm.warc import read_archives, write_archives
 
     return read_archives(write_archives(read(spark, sf_dir, "pages")), payloads=False).drop("payload")
+
+
+@_query
+def op9_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm.secret_ledger import BASE, scan
+
+    base = [rule.kind for rule in BASE]
+
+    def told(found: Column) -> Column:
+        return F.array_join(F.transform(found, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return scan(read(spark, sf_dir, "documents")).select(
+        "doc_id",
+        *map(count, base),
+        F.sha2(told(F.filter("found", lambda s: s["kind"].isin(base))), 256).alias("base_sha256"),
+        told(F.col("found")).alias("spans"),
+    )
