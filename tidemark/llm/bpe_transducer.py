@@ -31,7 +31,7 @@ from tidemark.llm.pieces import PieceMemory
 from tidemark.llm.tables import portions
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
-STATES = 300_000
+STATES = 200_000
 #: Ids turned to bytes at once when decoding.
 CHUNK = 1 << 15
 
@@ -50,7 +50,7 @@ class _State:
     def __init__(self, last: int, items: tuple):
         self.last, self.items = last, items
         self.moves: dict[int, tuple[tuple[int, ...], _State]] = {}
-        self.final = next((pending for pending, node in items if node == 0), None)
+        self.final = items[-1][0]  # the item that has ended a token stands last
 
 
 class Transducer:
@@ -60,21 +60,28 @@ class Transducer:
         self.ranks = ranks
         self.limit = states
         self.token_bytes = {rank: token for token, rank in ranks.items()}
-        self.next_node: dict[int, int] = {}
-        self.token_at: dict[int, int] = {}
-        for token, rank in ranks.items():
+        # Per node of the trie and byte: the next node (0 if no token goes on) and the token that ends there.
+        self.trie: list[dict[int, tuple[int, int]]] = [{}]
+        for token in sorted(ranks):
             node = 0
-            for byte in token:
-                node = self.next_node.setdefault(node << 8 | byte, len(self.next_node) + 1)
-            self.token_at[node] = rank
-        self.inner = {step >> 8 for step in self.next_node}
+            for byte in token[:-1]:
+                after, ends = self.trie[node].get(byte, (0, _START))
+                if not after:
+                    after = len(self.trie)
+                    self.trie.append({})
+                    self.trie[node][byte] = (after, ends)
+                node = after
+            self.trie[node][token[-1]] = (self.trie[node].get(token[-1], (0, _START))[0], ranks[token])
         self.left: dict[int, list[tuple[int, float, float]]] = {}
         self.right: dict[int, list[tuple[int, float, float]]] = {}
         self.apart: dict[tuple[int, int], bool] = {}
+        self.states: dict[tuple, _State] = {}
         self._begin()
 
     def _begin(self) -> None:
-        self.states: dict[tuple, _State] = {}
+        for state in self.states.values():  # states refer to each other
+            state.moves.clear()
+        self.states = {}
         self.start = self._state(_START, (((), 0),))
 
     def _state(self, last: int, items: tuple) -> _State:
@@ -97,16 +104,20 @@ class Transducer:
         return out
 
     def _move(self, state: _State, byte: int) -> tuple[tuple[int, ...], _State]:
+        trie, apart = self.trie, self.apart
         reading, ended = [], None
         for pending, node in state.items:
-            child = self.next_node.get(node << 8 | byte)
-            if child is None:
+            step = trie[node].get(byte)
+            if step is None:
                 continue
-            if child in self.inner:
-                reading.append((pending, child))
-            if ended is None:  # a prefix has one encoding, so at most one item ends a token here
-                token = self.token_at.get(child)
-                if token is not None and self._stay_apart(pending[-1] if pending else state.last, token):
+            after, token = step
+            if after:
+                reading.append((pending, after))
+            if ended is None and token != _START:  # a prefix has one encoding: one item at most ends a token here
+                pair = (pending[-1] if pending else state.last, token)
+                if pair not in apart:
+                    apart[pair] = pair[0] == _START or not self._merge_across(*pair)
+                if apart[pair]:
                     ended = (*pending, token)
         if ended is None:
             raise ValueError(f"the vocabulary has no token for byte {byte}")
@@ -122,14 +133,6 @@ class Transducer:
         state.moves[byte] = move = (emitted, after)
         return move
 
-    def _stay_apart(self, a: int, b: int) -> bool:
-        if a == _START:
-            return True
-        known = self.apart.get((a, b))
-        if known is None:
-            known = self.apart[a, b] = not self._merge_across(a, b)
-        return known
-
     def _merge_across(self, a: int, b: int) -> bool:
         """Whether some part at the end of ``a`` meets one at the start of ``b`` and is merged with it.
 

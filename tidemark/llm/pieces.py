@@ -15,10 +15,10 @@ import regex
 #: ``\s`` is the Unicode property; Python's own class has four control characters more.
 PIECE = regex.compile(public_tokenizers.PATTERN.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
 UNIT = regex.compile(r"\p{White_Space}*\P{White_Space}+|\p{White_Space}+")
-_EDGE = regex.compile(r"\p{White_Space}")
+_WHITE = frozenset(c for c in map(chr, range(0x3001)) if regex.match(r"\p{White_Space}", c))
 
-#: Remembered units and pieces; when there are more, all are forgotten. Longer ones are not kept.
-REMEMBERED = 400_000
+#: Remembered units, and remembered pieces; when there are more, they are forgotten. Long ones are not kept.
+REMEMBERED = 300_000
 REMEMBERED_LENGTH = 200
 
 
@@ -28,9 +28,6 @@ class PieceMemory:
     def __init__(self, encode: Callable[[list[str]], Iterable[bytes]], limit: int = REMEMBERED):
         self.encode_pieces = encode
         self.limit = limit
-        self.forget()
-
-    def forget(self) -> None:
         self.units: dict[str, bytes] = {}
         self.spaced: dict[str, bytes] = {}  # by what follows a single space
         self.pieces: dict[str, bytes] = {}
@@ -50,13 +47,14 @@ class PieceMemory:
             b"".join(map(self.units.__getitem__, first)) + b"".join(map(self.spaced.__getitem__, rest))
             for first, rest in cut
         ]
-        if max(len(self.units) + len(self.spaced), len(self.pieces)) > self.limit:
-            self.forget()
-        else:
-            for memory, added in ((self.units, units), (self.spaced, spaced), (self.pieces, fresh)):
-                for key in added:
-                    if len(key) > REMEMBERED_LENGTH:
-                        del memory[key]
+        for memory, added in ((self.units, units), (self.spaced, spaced), (self.pieces, fresh)):
+            for key in added:
+                if len(key) > REMEMBERED_LENGTH:
+                    del memory[key]
+        if len(self.units) + len(self.spaced) > self.limit:
+            self.units, self.spaced = {}, {}
+        if len(self.pieces) > self.limit:
+            self.pieces = {}
         return out
 
     def _cut(self, text: str) -> tuple[list[str], list[str]]:
@@ -64,8 +62,8 @@ class PieceMemory:
         parts = text.split(" ")
         first, rest = parts[:1], parts[1:]
         unknown = set(rest).difference(self.spaced)
-        if first[0] and not _EDGE.match(first[0][-1]) and all(
-            part and not _EDGE.match(part[0]) and not _EDGE.match(part[-1]) for part in unknown
+        if first[0] and first[0][-1] not in _WHITE and all(
+            part and part[0] not in _WHITE and part[-1] not in _WHITE for part in unknown
         ):
             return first, rest
         return UNIT.findall(text), []

@@ -97,3 +97,18 @@ def op9_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(told(F.filter("found", lambda s: s["kind"].isin(base))), 256).alias("base_sha256"),
         told(F.col("found")).alias("spans"),
     )
+
+
+@_query
+def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm.winnowing import compare_edited, digest
+
+    return compare_edited(read(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_chars",
+        F.sha2(F.encode("edited_text", "utf-8"), 256).alias("edited_sha256"),
+        digest(F.col("kept")).alias("fingerprint"),
+        digest(F.col("edited_kept")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
