@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.pieces import PieceMemory
+from tidemark.llm.pieces import PieceMemory, pack_ids
 from tidemark.llm.tables import portions
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -229,7 +229,7 @@ def _memory(path: str) -> PieceMemory:
 
     def encode(pieces: list[str]) -> Iterator[bytes]:
         for piece in pieces:
-            yield np.array(transducer.encode(piece.encode("utf-8")), "<u4").tobytes()
+            yield pack_ids(transducer.encode(piece.encode("utf-8")))
 
     return PieceMemory(encode)
 

@@ -7,6 +7,7 @@ neighbours. Such a unit is cut and encoded once, and its ids are remembered.
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Callable, Iterable
 
 import public_tokenizers
@@ -22,6 +23,11 @@ REMEMBERED = 300_000
 REMEMBERED_LENGTH = 200
 
 
+def pack_ids(ids: list[int]) -> bytes:
+    """Little-endian unsigned 32-bit integers."""
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class PieceMemory:
     """Encodes texts by ``encode``, which gives the id bytes of each of some pieces."""
 
@@ -33,16 +39,19 @@ class PieceMemory:
         self.pieces: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [self._cut(text) for text in texts]
-        units = set().union(*(first for first, _ in cut)).difference(self.units)
-        spaced = set().union(*(rest for _, rest in cut)).difference(self.spaced)
-        found = {unit: PIECE.findall(unit) for unit in units}
-        found |= {" " + part: PIECE.findall(" " + part) for part in spaced}
+        units: set[str] = set()
+        spaced: set[str] = set()
+        cut = [self._cut(text, units, spaced) for text in texts]
+        # Letters alone are one piece, also after a space.
+        found = {unit: (unit,) if unit.isalpha() else PIECE.findall(unit) for unit in units}
+        found |= {" " + part: (" " + part,) if part.isalpha() else PIECE.findall(" " + part) for part in spaced}
         fresh = list(set().union(*found.values()).difference(self.pieces))
         self.pieces.update(zip(fresh, self.encode_pieces(fresh), strict=True))
         ids = self.pieces.__getitem__
-        self.units.update((unit, b"".join(map(ids, found[unit]))) for unit in units)
-        self.spaced.update((part, b"".join(map(ids, found[" " + part]))) for part in spaced)
+        for memory, added, space in ((self.units, units, ""), (self.spaced, spaced, " ")):
+            for key in added:
+                pieces = found[space + key]
+                memory[key] = ids(pieces[0]) if len(pieces) == 1 else b"".join(map(ids, pieces))
         out = [
             b"".join(map(self.units.__getitem__, first)) + b"".join(map(self.spaced.__getitem__, rest))
             for first, rest in cut
@@ -57,13 +66,20 @@ class PieceMemory:
             self.pieces = {}
         return out
 
-    def _cut(self, text: str) -> tuple[list[str], list[str]]:
-        """Units, then parts that each follow a single space; together they are the text."""
+    def _cut(self, text: str, units: set[str], spaced: set[str]) -> tuple[list[str], list[str]]:
+        """Units, then parts that each follow a single space; together they are the text.
+
+        Adds those that are not remembered to ``units`` and ``spaced``.
+        """
         parts = text.split(" ")
         first, rest = parts[:1], parts[1:]
-        unknown = set(rest).difference(self.spaced)
+        known = self.spaced
+        unknown = [part for part in rest if part not in known]
         if first[0] and first[0][-1] not in _WHITE and all(
-            part and part[0] not in _WHITE and part[-1] not in _WHITE for part in unknown
+            part.isalpha() or (part and part[0] not in _WHITE and part[-1] not in _WHITE) for part in unknown
         ):
-            return first, rest
-        return UNIT.findall(text), []
+            spaced.update(unknown)
+        else:
+            first, rest = UNIT.findall(text), []
+        units.update(unit for unit in first if unit not in self.units)
+        return first, rest

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.files import new_file, open_file
-from tidemark.llm.pieces import PieceMemory
+from tidemark.llm.pieces import PieceMemory, pack_ids
 from tidemark.llm.ranges import id_bounds, range_of
 from tidemark.llm.tables import given_id, known_id, portions, stored
 from tidemark.session import shared_folder
@@ -150,7 +150,7 @@ def _memory(path: str) -> tuple[PieceMemory, int]:
     def encode(pieces: list[str]) -> Iterator[bytes]:
         for start in range(0, len(pieces), 10_000):
             for found in batch(pieces[start : start + 10_000], add_special_tokens=False):
-                yield np.array(found.ids, "<u4").tobytes()
+                yield pack_ids(found.ids)
 
     return PieceMemory(encode), tokenizer.get_vocab_size()
 

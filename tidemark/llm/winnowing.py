@@ -25,6 +25,7 @@ WINDOW = 16
 #: Windows worked on at once.
 SPAN = 1 << 14
 _PLACE_BITS = 16
+_PLACES = (1 << _PLACE_BITS) - 1
 
 
 def _let(value: Column, body) -> Column:
@@ -40,7 +41,7 @@ def winnow(text: Column, gram: int = GRAM, window: int = WINDOW) -> Column:
     """
     if window & (window - 1) or SPAN + window > 1 << _PLACE_BITS:
         raise ValueError("the window must be a power of two that fits a span")
-    data = F.encode(F.coalesce(text, F.lit("")), "utf-8")
+    data = F.coalesce(text.cast("binary"), F.lit("").cast("binary"))
 
     def of_bytes(data: Column) -> Column:
         grams = F.greatest(F.octet_length(data) - gram + 1, F.lit(1))
@@ -49,11 +50,17 @@ def winnow(text: Column, gram: int = GRAM, window: int = WINDOW) -> Column:
         def of_span(span: Column) -> Column:
             first = span * SPAN
             end = F.least(grams, first + SPAN + window - 1)
-            packed = F.transform(
-                F.sequence(first, end - 1),
-                lambda at: F.shiftleft(F.shiftrightunsigned(F.xxhash64(F.substr(data, at + 1, F.lit(gram))), 17), _PLACE_BITS)
-                + ((1 << _PLACE_BITS) - 1 + first - at),
-            )
+
+            # Low bits fall along the span, so that of equal hashes the rightmost is the smallest number.
+            def packed_from(begin: Column) -> Column:
+                return F.transform(
+                    F.sequence(F.lit(_PLACES), _PLACES + 1 + first - end, F.lit(-1)),
+                    lambda low: F.xxhash64(F.substr(data, begin - low, F.lit(gram)))
+                    .bitwiseAND(F.lit(~_PLACES))
+                    .bitwiseOR(low.cast("long")),
+                )
+
+            packed = _let(first + (_PLACES + 1), packed_from)
             step, least = 1, packed
             while step < window:
                 least = F.transform(F.array(least), _halving(step))[0]
@@ -64,7 +71,7 @@ def winnow(text: Column, gram: int = GRAM, window: int = WINDOW) -> Column:
                 F.array_distinct(full),
                 lambda p: F.struct(
                     F.shiftright(p, _PLACE_BITS).alias("hash"),
-                    (first + ((1 << _PLACE_BITS) - 1) - p.bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))).cast("int").alias("position"),
+                    (first + _PLACES - p.bitwiseAND(F.lit(_PLACES))).cast("int").alias("position"),
                 ),
             )
 
@@ -124,8 +131,47 @@ def with_next(docs: DataFrame) -> DataFrame:
     dealt = rows.withColumn("own", own).select(
         "doc_id", "text", F.explode(F.filter(F.array(*place), lambda p: p.isNotNull())).alias("place")
     )
-    order = Window.partitionBy("place.range").orderBy("place.copy", "doc_id", "text")
-    return dealt.withColumn("next_text", F.lead("text").over(order)).select("place", "doc_id", "text", "next_text")
+    flat = dealt.select("doc_id", "text", "place.range", "place.copy")
+    return flat.withColumn("next_text", F.lead("text").over(_in_order()))
+
+
+def _in_order() -> Window:
+    """Within a range; the copy of the next range's first document comes last."""
+    return Window.partitionBy("range").orderBy("copy", "doc_id", "text")
+
+
+def _kept(value: Column, position: Column) -> Column:
+    return F.struct(value.alias("hash"), position.cast("int").alias("position"))
+
+
+def spliced(
+    kept: Column, next_kept: Column, text: Column, head: Column, tail: Column, gram: int, window: int
+) -> Column:
+    """What winnowing keeps of ``text``, which is ``head`` and ``tail``, the first parts of two texts.
+
+    ``kept`` and ``next_kept`` belong to those two. Away from the seam and the end, every window of the
+    text is one of theirs, so only the bytes near both are hashed anew. Short parts are done whole.
+    """
+    reach = gram + window - 1
+    data = text.cast("binary")
+    seam = F.octet_length(head)
+    end = F.octet_length(head) + F.octet_length(tail)
+
+    def near(first: Column, last: Column, low: Column, high: Column) -> Column:
+        """Kept at places from ``low`` to ``high``, found from the bytes ``first`` to ``last``."""
+        found = winnow(F.substr(data, first + 1, last - first), gram, window)
+        moved = F.transform(found, lambda k: _kept(k["hash"], k["position"] + first))
+        return F.filter(moved, lambda k: (k["position"] >= low) & (k["position"] <= high))
+
+    moved = F.transform(next_kept, lambda k: _kept(k["hash"], k["position"] + seam))
+    joined = F.concat(
+        F.filter(kept, lambda k: k["position"] <= seam - reach),
+        near(seam - 2 * reach, seam + 2 * reach, seam - reach + 1, seam + window - 2),
+        F.filter(moved, lambda k: (k["position"] >= seam + window - 1) & (k["position"] <= end - reach)),
+        near(end - 3 * reach, end, end - reach + 1, end),
+    )
+    long_enough = (F.octet_length(head) >= 4 * reach) & (F.octet_length(tail) >= 4 * reach)
+    return F.when(long_enough, joined).otherwise(winnow(text, gram, window))
 
 
 def compare_edited(docs: DataFrame, gram: int = GRAM, window: int = WINDOW) -> DataFrame:
@@ -135,18 +181,21 @@ def compare_edited(docs: DataFrame, gram: int = GRAM, window: int = WINDOW) -> D
     ``edited_kept``, ``near_edited``, ``near_next``. The edited text has its last half replaced by as
     many first characters of the next document, or all it has. An only document is its own next.
     """
-    order = Window.partitionBy("place.range").orderBy("place.copy", "doc_id", "text")
     half = F.floor(F.length("text") / 2).cast("int")
-    edited = F.concat(
-        F.substring(F.col("text"), F.lit(1), F.length("text") - half), F.substring(F.col("next_text"), F.lit(1), half)
-    )
     return (
         with_next(docs)
         .withColumn("kept", winnow(F.col("text"), gram, window))
-        .withColumn("next_kept", F.lead("kept").over(order))
-        .filter("place.copy = 0")
-        .withColumn("edited_text", edited)
-        .withColumn("edited_kept", winnow(F.col("edited_text"), gram, window))
+        .withColumn("next_kept", F.lead("kept").over(_in_order()))
+        .filter("copy = 0")
+        .withColumn("head", F.substring(F.col("text"), F.lit(1), F.length("text") - half))
+        .withColumn("tail", F.substring(F.col("next_text"), F.lit(1), half))
+        .withColumn("edited_text", F.concat("head", "tail"))
+        .withColumn(
+            "edited_kept",
+            spliced(
+                F.col("kept"), F.col("next_kept"), F.col("edited_text"), F.col("head"), F.col("tail"), gram, window
+            ),
+        )
         .withColumn("hashes", hashes(F.col("kept")))
         .select(
             given_id(F.col("doc_id")).alias("doc_id"),
