@@ -112,3 +112,17 @@ def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "near_edited",
         "near_next",
     )
+
+
+@_query
+def op3_quality_rff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm.quality_rff import score_quality
+
+    return score_quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@_query
+def op8_toxicity_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm.toxicity_ftrl import score_toxicity
+
+    return score_toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
