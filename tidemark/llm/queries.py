@@ -126,3 +126,10 @@ def op8_toxicity_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.llm.toxicity_ftrl import score_toxicity
 
     return score_toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@_query
+def op10_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm.mixture import mix
+
+    return mix(read(spark, sf_dir, "documents"))
