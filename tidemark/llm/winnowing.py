@@ -76,8 +76,14 @@ def winnow(text: Column, gram: int = GRAM, window: int = WINDOW) -> Column:
             )
 
         spans = F.transform(F.sequence(F.lit(0), last_span), of_span)
-        # A gram kept on both sides of a span's end is one.
-        return F.when(last_span > 0, F.array_distinct(F.flatten(spans))).otherwise(F.get(spans, F.lit(0)))
+        # Kept places never fall, so a gram kept on both sides of a span's end stands there twice in a row.
+        joined = F.transform(
+            F.array(F.flatten(spans)),
+            lambda kept: F.filter(
+                kept, lambda k, i: (i == 0) | (F.get(kept, i - 1)["position"] != k["position"])
+            ),
+        )[0]
+        return F.when(last_span > 0, joined).otherwise(F.get(spans, F.lit(0)))
 
     empty = F.array().cast("array<struct<hash:bigint,position:int>>")
     return F.when(F.octet_length(data) > 0, _let(data, of_bytes)).otherwise(empty)
