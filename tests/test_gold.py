@@ -6,7 +6,7 @@ import pytest
 from helpers import at, event, events, multiset
 from tidemark.contract import ALERTS, LIQUIDITY
 from tidemark.operators import medallion as m
-from tidemark.operators.gold import earliest_alerts, fraud_alerts, hourly_liquidity
+from tidemark.operators.gold import fraud_alerts, hourly_liquidity
 from tidemark.plans.gold_build import build_gold
 from tidemark.sources.tables import read_table
 
@@ -31,12 +31,12 @@ def test_alerts_need_an_amount(to_silver):
     assert [(r.fraud_alert_key, r.alert_reason) for r in rows] == [("a", "HIGH_AMOUNT")]
 
 
-def test_alert_key_repeats_across_windows_but_not_after_picking(to_silver):
+def test_one_alert_per_window(spark, to_silver, tmp_path):
     silver = to_silver(big("a", 61, amount=Decimal("30000.00")), big("a", 1), big("b", 5))
     assert fraud_alerts(silver).count() == 3
-    picked = {r.transaction_id: r.amount for r in earliest_alerts(silver).collect()}
-    assert picked == {"a": Decimal("20000.00"), "b": Decimal("20000.00")}
-    assert earliest_alerts(silver).columns == ALERTS.columns
+    for _ in range(2):  # a merge of the same rows leaves them all
+        root = build_gold(spark, "gold_fraud_alerts", silver, str(tmp_path), as_of=AS_OF)
+        assert sorted(r.transaction_id for r in _rows(spark, root, ALERTS)) == ["a", "a", "b"]
 
 
 def test_liquidity_sums_and_null_flags(spark, to_silver):
@@ -99,10 +99,25 @@ def test_rebuilding_is_idempotent(spark, to_silver, tmp_path):
     assert multiset(read_table(spark, root, LIQUIDITY), columns) == before
 
 
-def test_alert_that_moves_hour_leaves_no_copy_behind(spark, to_silver, tmp_path):
+def test_alert_that_moves_hour_stays_until_a_full_refresh(spark, to_silver, tmp_path):
+    moved = to_silver(big("a", 2 * HOUR))
     root = build_gold(spark, "gold_fraud_alerts", to_silver(big("a", HOUR), big("b", 1)), str(tmp_path), as_of=AS_OF)
-    build_gold(spark, "gold_fraud_alerts", to_silver(big("a", 2 * HOUR)), str(tmp_path), as_of=AS_OF)
-    assert sorted((r.transaction_id, r.hour) for r in _rows(spark, root, ALERTS)) == [("a", 14), ("b", 12)]
+    build_gold(spark, "gold_fraud_alerts", moved, str(tmp_path), as_of=AS_OF)
+    hours = sorted((r.transaction_id, r.hour) for r in _rows(spark, root, ALERTS))
+    assert hours == [("a", 13), ("a", 14), ("b", 12)]
+
+
+def test_unfinished_first_build_is_done_again(spark, to_silver, tmp_path):
+    old = to_silver(big("old", -90 * HOUR), big("new", 1))
+    root = build_gold(spark, "gold_fraud_alerts", old, str(tmp_path), as_of=AS_OF)
+    (tmp_path / "gold/gold_fraud_alerts/_built").unlink()
+    build_gold(spark, "gold_fraud_alerts", to_silver(big("old", -80 * HOUR)), str(tmp_path), as_of=AS_OF)
+    assert [r.transaction_id for r in _rows(spark, root, ALERTS)] == ["old"]
+
+
+def test_empty_silver_is_refused(spark, to_silver, tmp_path):
+    with pytest.raises(ValueError, match="Silver has no rows"):
+        build_gold(spark, "gold_fraud_alerts", to_silver(big("a", 1)).limit(0), str(tmp_path), as_of=AS_OF)
 
 
 def test_full_refresh_replaces_the_table(spark, to_silver, tmp_path):
@@ -122,9 +137,11 @@ def test_build_may_add_a_column(spark, to_silver, tmp_path):
     plain = MODELS["gold_hourly_liquidity"]
 
     def with_region(silver, **hours):
-        return plain.full(silver, **hours).withColumn("region", F.lit("SEA"))
+        return plain.rows(silver, **hours).withColumn("region", F.lit("SEA"))
 
-    wider = replace(plain, full=with_region, incremental=with_region)
+    wider = replace(plain, rows=with_region)
     build_gold(spark, wider, to_silver(event("b", at(HOUR))), str(tmp_path), as_of=AS_OF)
     spec = LIQUIDITY.with_columns(with_region(to_silver(event("b"))).schema)
     assert sorted((r.hour, r.region) for r in _rows(spark, root, spec)) == [(12, None), (13, "SEA")]
+    build_gold(spark, plain, to_silver(event("c", at(2))), str(tmp_path), as_of=AS_OF)
+    assert sorted((r.hour, r.region) for r in _rows(spark, root, spec)) == [(12, None), (13, "SEA")]

@@ -67,5 +67,5 @@ def test_hot_target_key(spark):
     )
     updates = frame(spark, [("hot", -1, 5)])
     merged = merge_incremental(target, updates, "k")
-    assert merged.count() == 2001
-    assert multiset(merged.where("k = 'hot'"), ["v"]) == ["(-1,)"]
+    assert merged.count() == 3000
+    assert multiset(merged.where("k = 'hot'"), ["v"]) == ["(-1,)"] * 1000

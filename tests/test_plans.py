@@ -5,12 +5,11 @@ from datetime import datetime
 
 import pytest
 
-import __spark_entry__ as driver
 from helpers import at, event, events
 from tidemark.contract import SILVER
 from tidemark.functions import partition_hour_filter
 from tidemark.operators import medallion as m
-from tidemark.operators.gold import earliest_alerts, fraud_alerts, hourly_liquidity
+from tidemark.operators.gold import fraud_alerts, hourly_liquidity
 from tidemark.operators.merge import merge_incremental
 from tidemark.plans.medallion_batch import build_silver
 from tidemark.sources.tables import read_silver
@@ -70,21 +69,15 @@ def test_dedup_combines_before_its_only_shuffle(spark, tmp_path):
     assert "GreaterThanOrEqual(event_time_epoch_us,1000000000000000)" in pushed
 
 
-def test_earliest_alerts_combine_before_the_shuffle(silver):
-    text = plan(earliest_alerts(silver))
-    tree = text[: text.index("(1) Scan")]
-    assert tree.count("Exchange") == 1 and tree.count("Aggregate") == 2 and "Window" not in tree
-
-
 def test_merge_never_multiplies_rows(silver):
-    updates = earliest_alerts(silver, cutoff_key=2026053013)
-    text = plan(merge_incremental(fraud_alerts(silver), updates, "transaction_id"))
+    updates = fraud_alerts(silver, cutoff_key=2026053013)
+    text = plan(merge_incremental(fraud_alerts(silver), updates, ALERTS.key))
     assert "CartesianProduct" not in text and "NestedLoop" not in text
 
 
 def test_no_query_leaves_the_jvm_or_forces_a_broadcast(spark, sf_dir):
-    for name, query in driver.queries().items():
-        if name.startswith(("stream", "compact")) or name in ("gold_alerts_incremental", "gold_liquidity_incremental"):
+    for name, query in driver_queries.QUERIES.items():
+        if name.startswith(("stream", "compact")) or name.endswith(("_incremental", "_rebuild", "_kept")):
             continue
         text = plan(query(spark, sf_dir))
         for operator in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin"):

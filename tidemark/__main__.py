@@ -34,8 +34,8 @@ def parser() -> argparse.ArgumentParser:
     commands.add_parser("init", help="create namespaces and register the tables in the catalog")
     stream = commands.add_parser("stream", help="run the Bronze and Silver streams")
     stream.add_argument("--path", help="folder of Parquet events instead of the Kafka topic")
-    stream.add_argument("--max-files", type=int, help="files of --path per micro-batch")
-    stream.add_argument("--max-offsets", type=int, help="topic records per micro-batch")
+    stream.add_argument("--max-files", type=int, default=1_000, help="files of --path per micro-batch")
+    stream.add_argument("--max-offsets", type=int, default=50_000_000, help="topic records per micro-batch")
     stream.add_argument("--available-now", action="store_true", help="process what is there, then end")
     gold = commands.add_parser("gold", help="build or update the Gold tables")
     gold.add_argument("--model", choices=sorted(MODELS), action="append")
@@ -88,9 +88,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             )
     elif args.command == "check":
         tables = {s.name: read_table(spark, table_root(warehouse, s), s) for s in (SILVER, LIQUIDITY, ALERTS)}
-        failed = run_checks(tables).where("failures > 0")
-        failed.show(100, truncate=False)
-        return 0 if failed.isEmpty() else 1
+        failed = run_checks(tables).where("failures > 0").collect()  # at most one row per check
+        for row in failed:
+            print(row.asDict())
+        return 1 if failed else 0
     elif args.command == "counts":
         table_counts(spark, warehouse).show(truncate=False)
     elif args.command == "compact":

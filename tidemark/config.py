@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import logging
-import math
 import os
 import re
 from collections.abc import Mapping
@@ -85,14 +84,6 @@ class PipelineConfig:
         for name, bound in least.items():
             object.__setattr__(self, name, max(bound, getattr(self, name)))
 
-    @property
-    def state_horizon_minutes(self) -> int:
-        """How long window state can be of use: the window, its lateness and a margin.
-
-        The watermark evicts state on its own; this is the figure to compare its metrics with.
-        """
-        return self.dedup_window_minutes + math.ceil(self.watermark_lateness_seconds / 60) + 5
-
     @property
     def stream_conf(self) -> dict[str, str]:
         """Session settings a stream takes over when it starts; its first start fixes the parallelism."""

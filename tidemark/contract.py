@@ -53,7 +53,7 @@ class TableSpec:
     sort_by: tuple[str, ...] = ()
     # Streamed tables hold one ``load=`` folder per micro-batch above their own partition folders.
     streamed: bool = False
-    key: str | None = field(default=None)
+    key: tuple[str, ...] = field(default=())
 
     @property
     def path(self) -> str:
@@ -116,7 +116,7 @@ TABLES = {
             ),
             partition_by=HOUR_COLUMNS,
             sort_by=("event_time", "transaction_id"),
-            key="transaction_id",
+            key=("transaction_id", "event_time_epoch_us"),
         ),
         TableSpec(
             "gold.gold_hourly_liquidity",
@@ -133,7 +133,7 @@ TABLES = {
             ),
             partition_by=HOUR_COLUMNS,
             sort_by=("hour_bucket", "currency"),
-            key="hourly_liquidity_key",
+            key=("hourly_liquidity_key",),
         ),
     )
 }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -19,8 +20,8 @@ SMALL_FILE = "64MB"
 FULL_FILE = "128MB"
 # Upper bound on the tasks that list file sizes, whatever the size of the table.
 LISTING_TASKS = 2000
-# Upper bound on the tasks of one merge shuffle. Beyond it a task writes files of several hours.
-MERGE_TASKS = 10_000
+# Tasks of one merge shuffle, unless a single hour needs more. Further hours follow in another run.
+RUN_TASKS = 10_000
 
 
 @dataclass(frozen=True)
@@ -76,7 +77,19 @@ def _assign_tasks(hours: list[Row], target: int, parallelism: int) -> tuple[list
             position = float(math.ceil(position))
         layout.append((h.hour_key, h.wanted_files, int(position)))
         position += h.wanted_files if h.wanted_files > 1 else h.bytes / task_bytes
-    return layout, min(int(position) + 1, MERGE_TASKS)
+    return layout, int(position) + 1
+
+
+def _runs(hours: list[Row], most: int) -> Iterator[list[Row]]:
+    """Whole hours in turn, as many as together get at most ``most`` files, or one hour."""
+    run: list[Row] = []
+    for h in hours:
+        if run and sum(r.wanted_files for r in run) + h.wanted_files > most:
+            yield run
+            run = []
+        run.append(h)
+    if run:
+        yield run
 
 
 def _spread(rows: DataFrame, layout: list[tuple[int, int, int]], tasks: int) -> DataFrame:
@@ -90,7 +103,7 @@ def _spread(rows: DataFrame, layout: list[tuple[int, int, int]], tasks: int) ->
     numbered = rows.withColumn("_row", F.monotonically_increasing_id()).withColumn(
         "_hour_key", partition_hour_key()
     )
-    task = ((F.col("_first_task") + F.col("_row") % F.col("_files")) % tasks).cast("int")
+    task = (F.col("_first_task") + F.col("_row") % F.col("_files")).cast("int")
     spread = numbered.join(F.broadcast(hours), "_hour_key").repartitionById(tasks, task)
     return spread.select(rows.columns)
 
@@ -104,6 +117,7 @@ def compact_partitions(
     target: str = FULL_FILE,
     start_key: int | None = None,
     end_key: int | None = None,
+    run_tasks: int = RUN_TASKS,
 ) -> Compaction:
     """Merge the small files of each hour; rows stay the same.
 
@@ -113,7 +127,8 @@ def compact_partitions(
     run to closed hours with ``end_key``, and to hours not yet compacted with ``start_key``: a
     repeated run for the same hours replaces them.
 
-    The only values that reach the driver are one row per hour. Replacing partitions is not one
+    Spark lists the files of the table on the driver; of their sizes one row per hour is collected. Hours are
+    rewritten in runs of at most ``run_tasks`` files, or of one hour. Replacing partitions is not one
     atomic step for readers of ``dst``.
     """
     in_place = dst.rstrip("/") == src.rstrip("/")
@@ -128,9 +143,9 @@ def compact_partitions(
     kept = [h.hour_key for h in hours if not h.rewrite]
 
     rows = in_hours(read_table(spark, src, spec), start_key=start_key, end_key=end_key)
-    if worth_it:
-        layout, tasks = _assign_tasks(worth_it, parse_size(target), spark.sparkContext.defaultParallelism)
-        fragmented = rows.where(partition_hour_key().isin([h.hour_key for h in worth_it]))
+    for run in _runs(worth_it, run_tasks):
+        layout, tasks = _assign_tasks(run, parse_size(target), spark.sparkContext.defaultParallelism)
+        fragmented = rows.where(partition_hour_key().isin([h.hour_key for h in run]))
         merged = _spread(fragmented, layout, tasks)
         write_table(merged, dst, spec, dynamic=True, rebalance=False)
     if kept and not in_place:

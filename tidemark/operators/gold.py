@@ -49,26 +49,6 @@ def fraud_alerts(silver: DataFrame, **hours: int | None) -> DataFrame:
     return to_alerts(alert_candidates(in_hours(silver, **hours)))
 
 
-def earliest_alerts(silver: DataFrame, **hours: int | None) -> DataFrame:
-    """Fraud alerts with one row per transaction id, the earliest, as a keyed merge needs them.
-
-    An id that recurs in several windows is reduced by an aggregate, which combines before the
-    shuffle; a ranking window would pull every copy of a hot id into one task.
-    """
-    candidates = alert_candidates(in_hours(silver, **hours))
-    first = (
-        candidates.groupBy("transaction_id")
-        .agg(
-            F.min_by(
-                F.struct(*[c for c in candidates.columns if c != "transaction_id"]),
-                F.struct("event_time_epoch_us", "dedup_window_start"),
-            ).alias("row")
-        )
-        .select("transaction_id", "row.*")
-    )
-    return to_alerts(first)
-
-
 def hourly_liquidity(silver: DataFrame, **hours: int | None) -> DataFrame:
     """Transaction count, flagged count and sums per event hour and currency.
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.config import PipelineConfig
@@ -46,7 +46,7 @@ from tidemark.operators.quality import (
     run_checks,
     table_checks,
 )
-from tidemark.plans.gold_build import build_gold
+from tidemark.plans.gold_build import GoldModel, build_gold
 from tidemark.plans.medallion_batch import build_silver
 from tidemark.session import shared_folder, use_utc
 from tidemark.sources.events_view import read_events, stream_events, transactions_from_events
@@ -71,9 +71,6 @@ QUERIES: dict[str, Query] = {}
 def _query(fn: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         use_utc(spark)
-        if spark.sparkContext.master.startswith("local"):
-            # Test data is tiny; let table writes still use all local cores.
-            spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "16k")
         return fn(spark, sf_dir).drop(*WALL_CLOCK)
 
     QUERIES[fn.__name__] = run
@@ -222,15 +219,41 @@ def gold_liquidity_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, _built_incrementally(spark, sf_dir, "gold_hourly_liquidity"), LIQUIDITY)
 
 
+@_query
+def gold_alerts_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A full build, then an incremental one over all hours of the same Silver: nothing changes."""
+    warehouse = shared_folder(spark, "warehouse")
+    rows = stored_silver(spark, sf_dir)
+    build_gold(spark, "gold_fraud_alerts", rows, warehouse, as_of=AS_OF)
+    root = build_gold(spark, "gold_fraud_alerts", rows, warehouse, as_of=AS_OF, lookback_hours=24 * 366)
+    return read_table(spark, root, ALERTS)
+
+
+@_query
+def gold_added_column_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A first build with one column more than the model, then the plain model over the lookback hours."""
+    warehouse = shared_folder(spark, "warehouse")
+    rows = stored_silver(spark, sf_dir)
+
+    def wider(silver: DataFrame, **hours: int | None) -> DataFrame:
+        return hourly_liquidity(silver, **hours).withColumn("mean_amount", _mean_amount())
+
+    build_gold(spark, GoldModel(LIQUIDITY, wider), rows, warehouse, end_key=FIRST_BUILD_END)
+    root = build_gold(spark, "gold_hourly_liquidity", rows, warehouse, as_of=AS_OF, lookback_hours=LOOKBACK_HOURS)
+    return read_table(spark, root, LIQUIDITY.with_columns(wider(rows).schema))
+
+
+def _mean_amount() -> Column:
+    return (F.col("total_amount") / F.col("transaction_count")).cast("decimal(18,2)")
+
+
 @_query
 def merge_new_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Upsert of the lookback hours with a column the target does not have yet."""
     rows = stored_silver(spark, sf_dir)
     cutoff = cutoff_hour_key(AS_OF, LOOKBACK_HOURS)
     target = hourly_liquidity(_stale(rows), end_key=FIRST_BUILD_END)
-    updates = hourly_liquidity(rows, cutoff_key=cutoff).withColumn(
-        "mean_amount", (F.col("total_amount") / F.col("transaction_count")).cast("decimal(18,2)")
-    )
+    updates = hourly_liquidity(rows, cutoff_key=cutoff).withColumn("mean_amount", _mean_amount())
     return merge_incremental(target, updates, LIQUIDITY.key, partition_hour_filter(">=", cutoff))
 
 

@@ -122,21 +122,25 @@ def _liquidity(source: str = "silver", where: str = "TRUE") -> str:
 
 STALE = f"event_time_epoch_us % 2 = 0 AND {HOUR_KEY} <= {FIRST_BUILD_END}"
 RECENT = f"{HOUR_KEY} >= {CUTOFF}"
-EARLIEST = f"""
-recent_alert_rows AS (
-    SELECT *, row_number() OVER (PARTITION BY transaction_id
-        ORDER BY event_time_epoch_us, dedup_window_start) AS position
-    FROM silver WHERE amount IS NOT NULL AND {RULE} AND {RECENT}
-)"""
 
 
-def _merged(target: str, updates: str, key: str, new_column: str | None = None) -> str:
+def _merged(target: str, updates: str, keys: tuple[str, ...], new_column: str | None = None) -> str:
+    """Upsert: matched target rows take their update, further updates are inserted, the rest stays."""
     padding = f", NULL::DECIMAL(18,2) AS {new_column}" if new_column else ""
+    same = " AND ".join(f"t.{k} = u.{k}" for k in keys)
     return f"""
-    SELECT *{padding} FROM ({target}) AS t
-    WHERE NOT ({RECENT} AND {key} IN (SELECT {key} FROM ({updates})))
+    , target AS ({target}), updates AS ({updates}), inside AS (SELECT * FROM target WHERE {RECENT})
+    SELECT *{padding} FROM target WHERE NOT {RECENT}
+    UNION ALL
+    SELECT t.*{padding} FROM inside AS t WHERE NOT EXISTS (SELECT 1 FROM updates AS u WHERE {same})
     UNION ALL
-    SELECT * FROM ({updates})"""
+    SELECT u.* FROM inside AS t JOIN updates AS u ON {same}
+    UNION ALL
+    SELECT u.* FROM updates AS u WHERE NOT EXISTS (SELECT 1 FROM inside AS t WHERE {same})"""
+
+
+def _with_mean(liquidity: str, mean: str = "round(total_amount / transaction_count, 2)") -> str:
+    return f"SELECT *, {mean}::DECIMAL(18,2) AS mean_amount FROM ({liquidity})"
 
 
 def _not_null(table: str, columns: list[str]) -> str:
@@ -238,17 +242,20 @@ SQL: dict[str, str] = {
     "gold_liquidity_backfill": BASE + _liquidity(where=f"{HOUR_KEY} BETWEEN {START} AND {END}"),
     "gold_alerts_lookback": BASE + _alerts(where=RECENT),
     "gold_liquidity_lookback": BASE + _liquidity(where=RECENT),
-    "gold_alerts_incremental": f"{BASE}, {EARLIEST}"
-    + _merged(_alerts(where=STALE), _alerts("recent_alert_rows", "position = 1"), "transaction_id"),
+    "gold_alerts_incremental": BASE
+    + _merged(_alerts(where=STALE), _alerts(where=RECENT), ("transaction_id", "event_time_epoch_us")),
+    "gold_alerts_rebuild": BASE + _alerts(),
     "gold_liquidity_incremental": BASE
-    + _merged(_liquidity(where=STALE), _liquidity(where=RECENT), "hourly_liquidity_key"),
+    + _merged(_liquidity(where=STALE), _liquidity(where=RECENT), ("hourly_liquidity_key",)),
+    "gold_added_column_kept": BASE
+    + _merged(
+        _with_mean(_liquidity(where=f"{HOUR_KEY} <= {FIRST_BUILD_END}")),
+        _with_mean(_liquidity(where=RECENT), "NULL"),
+        ("hourly_liquidity_key",),
+    ),
     "merge_new_column": BASE
     + _merged(
-        _liquidity(where=STALE),
-        f"""SELECT *, round(total_amount / transaction_count, 2)::DECIMAL(18,2) AS mean_amount
-            FROM ({_liquidity(where=RECENT)})""",
-        "hourly_liquidity_key",
-        "mean_amount",
+        _liquidity(where=STALE), _with_mean(_liquidity(where=RECENT)), ("hourly_liquidity_key",), "mean_amount"
     ),
     "partition_hour_keys": f"""{BASE}, keyed AS (
             SELECT transaction_id, event_time, {HOUR_KEY}::INT AS hour_key,

@@ -8,28 +8,34 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.contract import ALERTS, HOUR_COLUMNS, LIQUIDITY, TableSpec
+from tidemark.contract import ALERTS, LIQUIDITY, TableSpec, append_new_columns
 from tidemark.functions.partition_hours import cutoff_hour_key
-from tidemark.operators.gold import earliest_alerts, fraud_alerts, hourly_liquidity, in_hours
+from tidemark.operators.gold import fraud_alerts, hourly_liquidity, in_hours
 from tidemark.operators.merge import merge_incremental
-from tidemark.session import shared_folder, use_utc
-from tidemark.sources.tables import open_table, read_table, table_root, write_table
+from tidemark.session import use_utc
+from tidemark.sources.tables import (
+    read_marker,
+    read_table,
+    staging_folder,
+    table_root,
+    write_marker,
+    write_table,
+)
 
 LOOKBACK_HOURS = 48
 
 
 @dataclass(frozen=True)
 class GoldModel:
-    """A Gold table, its full build and the (uniquely keyed) rows of an incremental build."""
+    """A Gold table and the rows it is built from, in full or for the hours of an incremental build."""
 
     spec: TableSpec
-    full: Callable[..., DataFrame]
-    incremental: Callable[..., DataFrame]
+    rows: Callable[..., DataFrame]
 
 
 MODELS = {
-    "gold_fraud_alerts": GoldModel(ALERTS, fraud_alerts, earliest_alerts),
-    "gold_hourly_liquidity": GoldModel(LIQUIDITY, hourly_liquidity, hourly_liquidity),
+    "gold_fraud_alerts": GoldModel(ALERTS, fraud_alerts),
+    "gold_hourly_liquidity": GoldModel(LIQUIDITY, hourly_liquidity),
 }
 
 
@@ -46,22 +52,30 @@ def build_gold(
 ) -> str:
     """Build or update a Gold table from Silver and return its root.
 
-    The first build (or ``full_refresh``) writes everything within ``start_key``/``end_key``. Later
-    builds recompute the hours from ``as_of - lookback_hours`` on and merge them by key with the
-    same hours of the table; older partitions are neither read nor written.
+    The first build (or ``full_refresh``) writes everything within ``start_key``/``end_key`` and, when
+    it is done, leaves a marker with the table's schema. Without that marker a table counts as
+    not built, so an interrupted first build is done again in full. Later builds recompute the hours
+    from ``as_of - lookback_hours`` on and merge them by key with the same hours of the table; older
+    partitions are neither read nor written. Columns that the table has and the model lacks stay.
+    Silver without any row is refused: Gold would be marked as built from nothing.
     """
     use_utc(spark)
+    if silver.isEmpty():
+        raise ValueError("Silver has no rows yet; Gold is built once there are some")
     model = MODELS[model] if isinstance(model, str) else model
     root = table_root(warehouse, model.spec)
     bounds = {"start_key": start_key, "end_key": end_key}
-    cutoff = cutoff_hour_key(as_of, lookback_hours)
-    updates = model.incremental(silver, cutoff_key=cutoff, **bounds)
-    spec = model.spec.with_columns(updates.schema)
-    target = None if full_refresh else open_table(spark, root, spec)
-    if target is None:
-        write_table(model.full(silver, **bounds), root, spec)
+    built = None if full_refresh else read_marker(spark, root)
+    if built is None:
+        rows = model.rows(silver, **bounds)
+        spec = model.spec.with_columns(rows.schema)
+        write_table(rows, root, spec)
     else:
-        merge_into(spark, root, spec, target, updates, cutoff)
+        cutoff = cutoff_hour_key(as_of, lookback_hours)
+        updates = model.rows(silver, cutoff_key=cutoff, **bounds)
+        spec = model.spec.with_columns(append_new_columns(built, updates.schema))
+        merge_into(spark, root, spec, read_table(spark, root, spec), updates, cutoff)
+    write_marker(spark, root, spec.schema)
     return root
 
 
@@ -70,30 +84,14 @@ def merge_into(
 ) -> None:
     """Upsert ``updates`` into the partitions of a table from hour ``cutoff`` on.
 
-    Both the updates and the merged hours are first written to the shared folder. The updates are
-    thus computed once although the merge reads them several times, the table is not overwritten
-    while it is being read, and should the last step die half way, the merged hours are still there
-    to be written again.
+    Both the updates and the merged hours are first written below the warehouse's staging folder. The
+    updates are thus computed once although the merge reads them several times, the table is not
+    overwritten while it is being read, and should the last step die half way, the merged hours are
+    still there to be written again. The key fixes a row's hour, so no hour is emptied by a merge.
     """
-    update_root = shared_folder(spark, "updates")
+    update_root = staging_folder(root, "updates")
     write_table(in_hours(updates, cutoff_key=cutoff), update_root, spec)
     staged = read_table(spark, update_root, spec)
-
-    target = in_hours(table, cutoff_key=cutoff)
-    merged_root = shared_folder(spark, "merged")
-    write_table(merge_incremental(target, staged, spec.key), merged_root, spec)
-    merged = read_table(spark, merged_root, spec)
-
-    # A dynamic overwrite leaves partitions alone that have no new rows. Where every row of an hour
-    # moved to another one, the old hour is overwritten with an empty file. The list is bounded by
-    # the hours of the lookback.
-    emptied = _hours(target).join(_hours(merged), list(HOUR_COLUMNS), "left_anti").collect()
-    write_table(merged, root, spec, dynamic=True, rebalance=False)
-    nothing = spark.createDataFrame([], spec.schema).drop(*HOUR_COLUMNS)
-    for hour in emptied:
-        folder = "/".join(f"{name}={hour[name]}" for name in HOUR_COLUMNS)
-        nothing.write.mode("overwrite").parquet(f"{root}/{folder}")
-
-
-def _hours(df: DataFrame) -> DataFrame:
-    return df.select(*HOUR_COLUMNS).distinct()
+    merged_root = staging_folder(root, "merged")
+    write_table(merge_incremental(in_hours(table, cutoff_key=cutoff), staged, spec.key), merged_root, spec)
+    write_table(read_table(spark, merged_root, spec), root, spec, dynamic=True, rebalance=False)

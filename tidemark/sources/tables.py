@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -13,10 +15,11 @@ from tidemark.contract import TABLES, TableSpec, append_new_columns
 from tidemark.functions.partition_hours import partition_hour_filter
 
 LOAD = "load"
-# Partitions before adaptive execution merges and splits them. Enough to keep hours apart, since a
-# partition that is split gives each part a share of all its hours; below 2000, from where on shuffle
-# statistics are averages that hide a hot hour.
+# Least partitions before adaptive execution merges and splits them. Hours should rarely share one,
+# since a partition that is split gives each part a share of all its hours.
 REBALANCE_PARTITIONS = 1024
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+BUILT = "_built"
 
 
 def table_root(warehouse: str, spec: TableSpec) -> str:
@@ -28,6 +31,38 @@ def read_table(spark: SparkSession, root: str, spec: TableSpec) -> DataFrame:
     return spark.read.schema(spec.schema).parquet(root).select(spec.columns)
 
 
+def staging_folder(root: str, purpose: str) -> str:
+    """A fresh folder beside a table, so on the same shared storage; readers skip such names."""
+    return f"{root.rstrip('/')}/_staging/{purpose}-{uuid.uuid4().hex}"
+
+
+def _file_system(spark: SparkSession, path: str):
+    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm_path
+
+
+def read_marker(spark: SparkSession, root: str) -> T.StructType | None:
+    """The schema of a table whose build has been finished; None for any other folder."""
+    system, path = _file_system(spark, f"{root}/{BUILT}")
+    if not system.exists(path):
+        return None
+    stream = system.open(path)
+    try:
+        return T.StructType.fromJson(json.loads(bytes(stream.readAllBytes()).decode()))
+    finally:
+        stream.close()
+
+
+def write_marker(spark: SparkSession, root: str, schema: T.StructType) -> None:
+    """Note that a table is built. Overwriting a table as a whole takes the marker away again."""
+    system, path = _file_system(spark, f"{root}/{BUILT}")
+    stream = system.create(path, True)
+    try:
+        stream.write(bytearray(schema.json().encode()))
+    finally:
+        stream.close()
+
+
 def open_table(spark: SparkSession, root: str, spec: TableSpec) -> DataFrame | None:
     """Same as :func:`read_table`, or None where nothing has been written yet."""
     try:
@@ -82,7 +117,9 @@ def write_table(
     """
     rows = _table_columns(df, spec)
     if rebalance:
-        rows = rows.hint("rebalance", REBALANCE_PARTITIONS, *spec.partition_by)
+        # A session for many hours sets more initial partitions; fewer than the least would mix hours.
+        initial = int(df.sparkSession.conf.get(INITIAL_PARTITIONS, None) or 0)
+        rows = rows.hint("rebalance", max(REBALANCE_PARTITIONS, initial), *spec.partition_by)
     _writer(rows, spec, "overwrite", dynamic).parquet(root)
 
 
