@@ -88,9 +88,9 @@ def test_frames(dictionary):
     for record in records:
         writer.add(record)
     data = out.getvalue()
-    assert list(warc.frames(pa.PythonFile(io.BytesIO(data)))) == records
+    assert list(warc.frames(pa.BufferReader(data))) == records
     with pytest.raises(ValueError, match="cut short"):
-        list(warc.frames(pa.PythonFile(io.BytesIO(data[:-5]))))
+        list(warc.frames(pa.BufferReader(data[:-5])))
 
 
 @pytest.mark.parametrize(
