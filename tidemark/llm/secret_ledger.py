@@ -231,11 +231,10 @@ def clean(docs: DataFrame, ledger: str | None = None, rules: tuple[Rule, ...] =
     found = scan(docs, ledger, rules).filter(F.size("found") > 0).select(F.col("blob").alias("_blob")).distinct()
     marked = stored(found, "with-secrets").withColumn("_secret", F.lit(True))
     rows = docs.withColumn("_blob", blob_of(F.col("text"))).join(marked, "_blob", "left")
-    text = F.col("text").cast("string")
-    for rule in rules:
-        text = redacted(text, rule)
-    text = F.when(F.col("_secret"), text).otherwise(F.col("text"))
-    columns = {"text": text}
+    rows = rows.withColumn("_clean", F.col("text").cast("string"))
+    for rule in rules:  # a step each: one expression of all would hold the text's many times over
+        rows = rows.withColumn("_clean", F.when(F.col("_secret"), redacted(F.col("_clean"), rule)).otherwise(F.col("_clean")))
+    columns = {"text": F.col("_clean")}
     if "n_chars" in docs.columns:
-        columns["n_chars"] = F.when(F.col("_secret"), F.length(text).cast("long")).otherwise(F.col("n_chars"))
+        columns["n_chars"] = F.when(F.col("_secret"), F.length("_clean").cast("long")).otherwise(F.col("n_chars"))
     return rows.select(*(columns[c].alias(c) if c in columns else F.col(c) for c in docs.columns))
