@@ -6,11 +6,12 @@ from datetime import datetime
 import pytest
 
 from helpers import at, event, events
-from tidemark.contract import SILVER
+from tidemark.contract import ALERTS, SILVER
 from tidemark.functions import partition_hour_filter
 from tidemark.operators import medallion as m
 from tidemark.operators.gold import fraud_alerts, hourly_liquidity
 from tidemark.operators.merge import merge_incremental
+from tidemark.plans import driver_queries
 from tidemark.plans.medallion_batch import build_silver
 from tidemark.sources.tables import read_silver
 from tidemark.sources.transactions import read_transactions

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.contract import ALERTS, LIQUIDITY, TableSpec, append_new_columns
 from tidemark.functions.partition_hours import cutoff_hour_key
@@ -89,8 +90,9 @@ def merge_into(
     overwritten while it is being read, and should the last step die half way, the merged hours are
     still there to be written again. The key fixes a row's hour, so no hour is emptied by a merge.
     """
+    lacking = {f.name: F.lit(None).cast(f.dataType) for f in spec.schema if f.name not in updates.columns}
     update_root = staging_folder(root, "updates")
-    write_table(in_hours(updates, cutoff_key=cutoff), update_root, spec)
+    write_table(in_hours(updates, cutoff_key=cutoff).withColumns(lacking), update_root, spec)
     staged = read_table(spark, update_root, spec)
     merged_root = staging_folder(root, "merged")
     write_table(merge_incremental(in_hours(table, cutoff_key=cutoff), staged, spec.key), merged_root, spec)
