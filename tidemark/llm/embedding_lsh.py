@@ -214,7 +214,8 @@ def near_vectors(
             F.coalesce("component", "id").alias("component_id"),
         )
     )
-    good = packed.join(of_class, "vector").select("id", "n_links", "component_id")
+    # Written, so that both sides of the join come from a shuffle and a hot vector can be split.
+    good = packed.join(stored(of_class, "vector-components"), "vector").select("id", "n_links", "component_id")
     usable_ids = vectors.select(known_id(id_column).alias("id"), F.col(vector_column).cast("array<double>").alias("vector"))
     finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     alone = usable_ids.filter(~F.coalesce(finite & F.exists("vector", lambda x: x != 0), F.lit(False)))
