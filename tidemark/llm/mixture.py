@@ -87,11 +87,11 @@ def _fill(nodes: DataFrame, parent: tuple[str, ...]) -> DataFrame:
     # The first sibling that is not used up tells the level of it and all after it.
     first_open = F.min(F.when(F.col("level") < F.col("full_at"), F.struct("nth", "level")))
     return (
-        sized.withColumn("open_at", first_open.over(Window.partitionBy(*parent))["level"])
+        sized.withColumn("open_at", first_open.over(Window.partitionBy(*parent)))
         .withColumn(
             "given",
-            F.when(F.col("full_at") <= F.coalesce("open_at", F.lit(float("inf"))), F.col("room"))
-            .otherwise(F.floor(F.col("open_at") * F.col("weight")).cast("long")),
+            F.when(F.col("open_at").isNull() | (F.col("nth") < F.col("open_at.nth")), F.col("room"))
+            .otherwise(F.floor(F.col("open_at.level") * F.col("weight")).cast("long")),
         )
         .drop("full_at", "level", "open_at", "nth")
     )
