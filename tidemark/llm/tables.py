@@ -38,6 +38,11 @@ def given_id(column: Column) -> Column:
     return F.nullif(column, F.lit(NO_ID))
 
 
+def content_of(text: Column) -> Column:
+    """The SHA-256 of a text; a missing one has no bytes, unlike the empty text."""
+    return F.coalesce(F.unhex(F.sha2(text, 256)), F.lit(b""))
+
+
 def portions(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with a bounded length of the texts in a column, or one row."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
