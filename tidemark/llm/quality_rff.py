@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.labelled import means, remainder, sample
-from tidemark.llm.tables import NO_ID, given_id, known_id, stored
+from tidemark.llm.tables import NO_ID, content_of, given_id, known_id, stored
 
 #: Labelled documents used at most, to fit and to calibrate.
 FIT_ROWS = 100_000
@@ -67,15 +67,18 @@ WIDTH = len(_CLASSES) + 2 + 8
 
 
 def document_statistics(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``x`` (doubles as bytes) per row, from the whole text; null counts as empty."""
+    """``doc_id``, ``content``, ``x`` (doubles as bytes) per row, from the whole text; null counts as empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [statistics(text.as_py()).tobytes() for text in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["doc_id", "x"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(2), pa.array(found, pa.binary())], ["doc_id", "content", "x"]
+            )
 
-    rows = docs.select(known_id("doc_id").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, x binary")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = docs.select(known_id("doc_id").alias("doc_id"), text.alias("text"), content_of(text).alias("content"))
+    return rows.mapInArrow(run, "doc_id long, content binary, x binary")
 
 
 def _stack(column: pa.Array) -> np.ndarray:
@@ -183,26 +186,35 @@ def score_quality(docs: DataFrame, labels: DataFrame, held_out: int = HELD_OUT)
     Repeated labels count as their mean; without labels, or with one kind only, all scores are equal.
     A null text counts as empty, a null id stays null, repeated rows stay. Other columns are not read.
     """
+    return _scored(docs, labels, held_out).select(
+        given_id(F.col("doc_id")).alias("doc_id"),
+        (remainder(given_id(F.col("doc_id")), held_out) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= ACCEPT).cast("int").alias("predicted"),
+    )
+
+
+def _scored(docs: DataFrame, labels: DataFrame, held_out: int = HELD_OUT) -> DataFrame:
+    """``doc_id``, ``content``, ``score`` per row of ``docs``."""
     features = stored(document_statistics(docs), "statistics")
     known = means(labels, "quality").filter(remainder(F.col("doc_id"), held_out) != 0)
     model = fit(features.filter(F.col("doc_id") != NO_ID), known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = model.score(_stack(batch.column(1))) if batch.num_rows else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores)], ["doc_id", "score"])
+            scores = model.score(_stack(batch.column(2))) if batch.num_rows else np.zeros(0)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(scores)], ["doc_id", "content", "score"]
+            )
 
-    return features.mapInArrow(run, "doc_id long, score double").select(
-        given_id(F.col("doc_id")).alias("doc_id"),
-        (remainder(given_id(F.col("doc_id")), held_out) == 0).alias("held_out"),
-        "score",
-        (F.col("score") >= ACCEPT).cast("int").alias("predicted"),
-    )
+    return features.mapInArrow(run, "doc_id long, content binary, score double")
 
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that the classifier does not reject."""
-    bad = score_quality(docs, labels).filter("predicted = 0").select(F.coalesce("doc_id", F.lit(NO_ID)).alias("_bad_id"))
-    # Copies of an id with different texts are judged as one: a rejected one takes all along.
-    rows = docs.withColumn("_own_id", known_id("doc_id"))
-    return rows.join(bad.distinct(), rows["_own_id"] == F.col("_bad_id"), "left_anti").select(*docs.columns)
+    """The documents that the classifier does not reject, each judged by its own text."""
+    # A score follows from the text alone, so a rejected content takes its copies along and nothing else.
+    bad = _scored(docs, labels).filter(F.col("score") < ACCEPT).select(F.col("content").alias("_bad_content"))
+    rows = docs.withColumn("_own_content", content_of(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    # Written, so that both sides of the join come from a shuffle and a hot content can be split.
+    bad = stored(bad.distinct(), "rejected")
+    return rows.join(bad, F.col("_own_content") == F.col("_bad_content"), "left_anti").select(*docs.columns)
