@@ -116,7 +116,7 @@ def _hash(batches: Iterator[pa.RecordBatch], sized: Tables) -> Iterator[pa.Recor
             for table in range(sized.tables):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(keys[:, table]), pa.array(np.full(len(keys), table, np.int32)), *batch.columns],
-                    ["bucket", "hash_table", "id", "vector", "copies"],
+                    ["bucket", "hash_table", "node", "vector", "copies"],
                 )
 
 
@@ -128,7 +128,7 @@ def _compare(batches: Iterator[pa.RecordBatch], sized: Tables, cosine: float) ->
     drawn = sized.projections()
     for table in whole_groups(batches, CELL):
         key = np.stack([table.column(k).to_numpy() for k in CELL], axis=1)
-        ids, copies = table.column("id").to_numpy(), table.column("copies").to_numpy()
+        nodes, copies = table.column("node").to_numpy(), table.column("copies").to_numpy()
         side, number = table.column("side").to_numpy(), table.column("hash_table").to_numpy()
         edges = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]).any(axis=1), True])
         unit = _matrix(table.column("vector"), sized.dimension)
@@ -150,10 +150,10 @@ def _compare(batches: Iterator[pa.RecordBatch], sized: Tables, cosine: float) ->
             continue
         i, j = np.concatenate(left), np.concatenate(right)
         rows = np.unique(np.concatenate([i, j]))
-        place = np.zeros(len(ids), np.int64)
+        place = np.zeros(len(nodes), np.int64)
         place[rows] = np.arange(len(rows))
         keys = sized.keys(unit[rows], drawn)
-        count = np.zeros(len(ids), np.int64)
+        count = np.zeros(len(nodes), np.int64)
         step = max(1, 4_000_000 // sized.tables)
         for start in range(0, len(i), step):
             a, b = i[start : start + step], j[start : start + step]
@@ -162,11 +162,11 @@ def _compare(batches: Iterator[pa.RecordBatch], sized: Tables, cosine: float) ->
             np.add.at(count, a, copies[b])
             np.add.at(count, b, copies[a])
         counted = np.flatnonzero(count)
-        u, v = spanning(i, j, len(ids))
+        u, v = spanning(i, j, len(nodes))
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array(np.concatenate([ids[counted], ids[u]])),
-                pa.array(np.concatenate([np.zeros(len(counted), np.int64), ids[v]]), mask=np.arange(len(counted) + len(u)) < len(counted)),
+                pa.array(np.concatenate([nodes[counted], nodes[u]])),
+                pa.array(np.concatenate([np.zeros(len(counted), np.int64), nodes[v]]), mask=np.arange(len(counted) + len(u)) < len(counted)),
                 pa.array(np.concatenate([count[counted], np.zeros(len(u), np.int64)])),
             ],
             ["a", "b", "n"],
@@ -190,28 +190,31 @@ def near_vectors(
     result. Columns other than the two are not read.
     """
     packed = stored(_pack(usable(vectors, id_column, vector_column)), "vectors")
-    classes = stored(
-        packed.groupBy("vector").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies")), "vector-classes"
-    )
+    # A class has a number of its own, written once: ids may be missing or repeated.
+    grouped = packed.groupBy("vector").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"))
+    classes = stored(grouped.withColumn("node", F.monotonically_increasing_id()), "vector-classes")
     lengths = classes.groupBy((F.length("vector") / 8).cast("int").alias("dimension")).agg(F.count(F.lit(1)).alias("n"))
     found = None
     for dimension, n in ((r["dimension"], r["n"]) for r in lengths.filter("n > 1").collect()):
         sized = Tables.sized(n, dimension, cosine, recall)
-        same = classes.filter(F.length("vector") == 8 * dimension).select("id", "vector", "copies")
+        same = classes.filter(F.length("vector") == 8 * dimension).select("node", "vector", "copies")
         part = _links(same, sized, cosine)
         found = part if found is None else found.unionByName(part)
     if found is None:
-        found = classes.select(F.col("id").alias("a"), F.col("id").alias("b"), F.lit(0).cast("long").alias("n")).limit(0)
+        found = classes.select(F.col("node").alias("a"), F.col("node").alias("b"), F.lit(0).cast("long").alias("n")).limit(0)
     found = stored(found, "vector-links")
-    linked = found.filter("b IS NULL").groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("others"))
+    linked = found.filter("b IS NULL").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("others"))
     groups = components(found.filter("b IS NOT NULL").select("a", "b"))
+    firsts = groups.join(classes.select("node", "id"), "node")
+    smallest = firsts.groupBy("component").agg(F.min("id").alias("component_id"))
+    named = firsts.join(smallest, "component").select("node", "component_id")
     of_class = (
-        classes.join(linked, "id", "left")
-        .join(groups.withColumnRenamed("node", "id"), "id", "left")
+        classes.join(linked, "node", "left")
+        .join(named, "node", "left")
         .select(
             "vector",
             (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).cast("long").alias("n_links"),
-            F.coalesce("component", "id").alias("component_id"),
+            F.coalesce("component_id", "id").alias("component_id"),
         )
     )
     # Written, so that both sides of the join come from a shuffle and a hot vector can be split.
@@ -231,7 +234,7 @@ def near_vectors(
 
 def _links(classes: DataFrame, sized: Tables, cosine: float) -> DataFrame:
     buckets = classes.mapInArrow(
-        lambda b: _hash(b, sized), "bucket long, hash_table int, id long, vector binary, copies long"
+        lambda b: _hash(b, sized), "bucket long, hash_table int, node long, vector binary, copies long"
     )
-    cells = into_cells(buckets, "id")
+    cells = into_cells(buckets, "node")
     return cells.mapInArrow(lambda b: _compare(b, sized, cosine), "a long, b long, n long")
