@@ -100,16 +100,19 @@ def _fill(nodes: DataFrame, parent: tuple[str, ...]) -> DataFrame:
 def budgets(leaves: DataFrame, mixture: Mixture) -> DataFrame:
     """``leaves`` (domain, lang, source, tokens) with ``given``, the tokens of each.
 
-    Null names are names of their own and weigh ``other``. Weights of zero give nothing.
+    Null names are names of their own and weigh ``other``. Weights of zero give nothing: a leaf with
+    one on its path has no room, so no budget is handed down to it or kept for it further up.
     """
-    supply = leaves.withColumn("room", F.col("tokens") * mixture.epochs)
+    used = F.lit(True)
+    for name in LEVELS:
+        used = used & (_weight(name, getattr(mixture, name), mixture.other) > 0)
+    supply = leaves.withColumn("room", F.when(used, F.col("tokens") * mixture.epochs).otherwise(F.lit(0)))
     total = leaves.agg(F.floor(F.sum("tokens") * mixture.share).cast("long").alias("budget"))
     above = total
     for depth, name in enumerate(LEVELS):
         path = LEVELS[: depth + 1]
         weight = _weight(name, getattr(mixture, name), mixture.other)
         nodes = supply.groupBy(*path).agg(F.sum("room").alias("room")).withColumn("weight", weight)
-        nodes = nodes.withColumn("room", F.when(F.col("weight") > 0, F.col("room")).otherwise(F.lit(0)))
         if depth == 0:
             nodes = nodes.crossJoin(F.broadcast(above))  # one row
         else:
