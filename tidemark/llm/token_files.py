@@ -135,24 +135,46 @@ class TokenReader:
         return self.read(int(self.starts[number]), int(self.starts[number + 1]))
 
 
-@lru_cache(maxsize=1)
-def _memory(path: str) -> tuple[PieceMemory, int]:
-    """Of a worker process, kept from task to task."""
-    import os
+class TextEncoder:
+    """Encodes texts as the vocabulary's library does, by remembered pieces.
+
+    The library cuts a text at the strings of added tokens before anything else, so a text that
+    holds one is encoded by it whole.
+    """
+
+    def __init__(self, path: str):
+        import os
 
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True  # the strings of special tokens are ordinary text
-    batch = getattr(tokenizer, "encode_batch_fast", tokenizer.encode_batch)
+        self.tokenizer = Tokenizer.from_file(path)
+        self.size = self.tokenizer.get_vocab_size()
+        self.batch = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
+        self.memory = PieceMemory(self._encode)
 
-    def encode(pieces: list[str]) -> Iterator[bytes]:
-        for start in range(0, len(pieces), 10_000):
-            for found in batch(pieces[start : start + 10_000], add_special_tokens=False):
+    def _encode(self, texts: list[str]) -> Iterator[bytes]:
+        for start in range(0, len(texts), 10_000):
+            for found in self.batch(texts[start : start + 10_000], add_special_tokens=False):
                 yield pack_ids(found.ids)
 
-    return PieceMemory(encode), tokenizer.get_vocab_size()
+    def encode(self, texts: list[str]) -> list[bytes]:
+        whole = [n for n, text in enumerate(texts) if any(token in text for token in self.added)]
+        if not whole:
+            return self.memory.encode(texts)
+        apart = set(whole)
+        rest = [n for n in range(len(texts)) if n not in apart]
+        ids: dict[int, bytes] = dict(zip(rest, self.memory.encode([texts[n] for n in rest]), strict=True))
+        for n in whole:  # one at a time: they may be long
+            ids.update(zip([n], self._encode([texts[n]]), strict=True))
+        return [ids[n] for n in range(len(texts))]
+
+
+@lru_cache(maxsize=1)
+def _encoder(path: str) -> TextEncoder:
+    """Of a worker process, kept from task to task."""
+    return TextEncoder(path)
 
 
 def write_token_files(
@@ -165,7 +187,8 @@ def write_token_files(
     """Write the ids of all documents, each followed by ``end_id``; returns one row per file.
 
     ``part`` (ascending with the ids inside), ``path``, ``documents``, ``ids``. Equal ids are ordered
-    by their tokens. A null text counts as empty, a missing id as the smallest; repeated rows stay.
+    by their tokens. The string of an added token, such as ``<|endoftext|>``, has that token's id, as
+    in the library. A null text counts as empty, a missing id as the smallest; repeated rows stay.
     ``vocabulary`` is a file that every executor can open.
     """
     folder = shared_folder(docs.sparkSession, "token-files")
@@ -173,12 +196,12 @@ def write_token_files(
     bounds = id_bounds(rows.select("doc_id"), "doc_id")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory, size = _memory(vocabulary)
-        bits = bits_for(max(size, end_id + 1))
+        encoder = _encoder(vocabulary)
+        bits = bits_for(max(encoder.size, end_id + 1))
         end = np.array([end_id], np.uint32)
         for batch in batches:
             for part in portions(batch, 2):
-                ids = memory.encode([text or "" for text in part.column(2).to_pylist()])
+                ids = encoder.encode([text or "" for text in part.column(2).to_pylist()])
                 packed = [pack(np.concatenate([np.frombuffer(x, "<u4"), end]), bits) for x in ids]
                 counts = pa.array([len(x) // 4 + 1 for x in ids], pa.int64())
                 yield pa.RecordBatch.from_arrays(
