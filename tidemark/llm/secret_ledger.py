@@ -50,8 +50,21 @@ BASE = (
     Rule("access", "AKIA[A-Z0-9]{12,}", needs=("AKIA",)),
     Rule("hex", "[0-9a-f]{32,}"),
 )
+# A key's block goes from BEGIN to the END of the same label, over anything without a row of five
+# dashes. If there is no such END, header lines and base64 follow for as long as they go on: whole
+# lines of any length, or runs of 16 and more. Line ends may be escaped. Nothing here backtracks
+# into what it has passed, so the work grows with the text only.
+_BODY = r"[^-]*+(?:-(?!----)[^-]*+)*+"
+_GAP = r"(?:\s|\\[nr])"
+_LINE_END = r"(?:[\r\n]|\\[nr])"
+_RUN = rf"=?[A-Za-z0-9+/]{{16,}}+={{0,2}}+|=?[A-Za-z0-9+/]++={{0,2}}+(?=[\t\x20]*+(?:{_LINE_END}|\z))"
+_CUT_SHORT = rf"(?:{_GAP}*+[A-Za-z][A-Za-z0-9-]*+:\x20[^\r\n]*+)*+(?:{_GAP}++(?:{_RUN}))++"
+PRIVATE_KEY = (
+    r"-----BEGIN ([A-Z0-9 ]{0,40}PRIVATE KEY(?: BLOCK)?)-----"
+    rf"(?:{_BODY}-----END \1-----|{_CUT_SHORT})?"
+)
 ADDED = (
-    Rule("private_key", "-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----", needs=("PRIVATE KEY-----",)),
+    Rule("private_key", PRIVATE_KEY, needs=("PRIVATE KEY-----", "PRIVATE KEY BLOCK-----")),
     Rule("web_token", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", needs=("eyJ",)),
     Rule("forge_token", "gh[opsur]_[A-Za-z0-9]{36,}", needs=("gho_", "ghp_", "ghs_", "ghu_", "ghr_")),
 )
@@ -232,7 +245,8 @@ def clean(docs: DataFrame, ledger: str | None = None, rules: tuple[Rule, ...] =
     marked = stored(found, "with-secrets").withColumn("_secret", F.lit(True))
     rows = docs.withColumn("_blob", blob_of(F.col("text"))).join(marked, "_blob", "left")
     rows = rows.withColumn("_clean", F.col("text").cast("string"))
-    for rule in rules:  # a step each: one expression of all would hold the text's many times over
+    # Keys first: the other rules would break up their blocks.
+    for rule in sorted(rules, key=lambda r: r.kind != "private_key"):  # a step each: one expression of all would hold the text's many times over
         rows = rows.withColumn("_clean", F.when(F.col("_secret"), redacted(F.col("_clean"), rule)).otherwise(F.col("_clean")))
     columns = {"text": F.col("_clean")}
     if "n_chars" in docs.columns:
