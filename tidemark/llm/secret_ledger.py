@@ -199,13 +199,14 @@ def scan(docs: DataFrame, ledger: str | None = None, rules: tuple[Rule, ...] = R
     known = read_ledger(spark, ledger).groupBy("blob").agg(F.flatten(F.collect_list("scanned")).alias("scanned"))
     lacking = F.when(F.col("scanned").isNull(), wanted).otherwise(F.array_except(wanted, F.col("scanned")))
     unseen = (
-        paths.groupBy("blob")
-        .agg(F.min("doc_id").alias("doc_id"))
+        paths.select("blob")
+        .distinct()
         .join(known, "blob", "left")
-        .select("blob", "doc_id", lacking.alias("lacking"))
+        .select("blob", lacking.alias("lacking"))
         .filter(F.size("lacking") > 0)
     )
-    # One document per content gives the text; repeated rows of it are made one again below.
+    # Copies become one in the map tasks, whatever their ids: an entry per content and set of rules.
+    once = texts.groupBy("blob").agg(F.first("text").alias("text"))
     found = F.concat(
         *(
             F.when(F.array_contains("lacking", rule.version), spans(F.col("text"), rule)).otherwise(
@@ -214,7 +215,7 @@ def scan(docs: DataFrame, ledger: str | None = None, rules: tuple[Rule, ...] = R
             for rule in rules
         )
     )
-    entries = texts.join(unseen, ["doc_id", "blob"]).select("blob", F.col("lacking").alias("scanned"), found.alias("found"))
+    entries = once.join(unseen, "blob").select("blob", F.col("lacking").alias("scanned"), found.alias("found"))
     entries.write.mode("append").parquet(ledger)
 
     order = F.create_map(*(x for i, r in enumerate(rules) for x in (F.lit(r.version), F.lit(i))))
