@@ -133,3 +133,17 @@ def op10_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.llm.mixture import mix
 
     return mix(read(spark, sf_dir, "documents"))
+
+
+@_query
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm.positional_index import contaminated
+
+    return contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")).select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
