@@ -147,3 +147,11 @@ def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+@_query
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm.orchard_codes import compress
+
+    codes, books = compress(read(spark, sf_dir, "embeddings"))
+    return codes.withColumn("codebooks_sha256", F.lit(books.sha256 if books else None))
