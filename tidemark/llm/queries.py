@@ -155,3 +155,10 @@ def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     codes, books = compress(read(spark, sf_dir, "embeddings"))
     return codes.withColumn("codebooks_sha256", F.lit(books.sha256 if books else None))
+
+
+@_query
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm.prefix_trie import prefix_trie, rebuilt
+
+    return prefix_trie(rebuilt(read(spark, sf_dir, "conversations"))).drop("a", "b")
