@@ -10,8 +10,8 @@ closing parenthesis of every node, and with it the node's subtree; leaves are ``
 rank, members and savings are differences of cumulative arrays.
 
 **Spines.** Only nodes on the path of a shard's first or last record can go on in another shard. All others are
-finished there. Those are passed on as records that carry what is finished below them, and the
-records of all shards make the next, far smaller round, until one shard holds them all.
+finished there. These two paths are passed on as records that carry, for each node, what is finished
+below it, and the records of all shards make the next, far smaller round, until one shard holds them all.
 """
 
 from __future__ import annotations
@@ -27,8 +27,10 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.tables import stored
 
-#: Turns (of records' paths) that make a shard.
+#: Turns (of records' paths) that make a shard, unless paths are so long that a few of them are more.
 SHARD_TURNS = 20_000
+#: Paths of the greatest length that a shard takes at least; it passes on two.
+SHARD_PATHS = 8
 #: Parentheses per block of the range min-max tree.
 BLOCK = 64
 #: Bytes of joined ids that are passed on as one row.
@@ -37,12 +39,16 @@ CHUNK = 1 << 16
 BROADCAST_NODES = 1_000_000
 
 _PATH = "array<struct<a:bigint,b:bigint,w:bigint>>"
-_RECORD = f"path {_PATH}, members long, first_id long, children long, leaves long, saved long"
+_VALUES = "array<struct<members:bigint,first_id:bigint,children:bigint,leaves:bigint,saved:bigint>>"
+#: A record: the steps from the root on, and values for as many of the last steps as there are.
+_RECORD = f"path {_PATH}, values {_VALUES}"
 _NODE = (
     "depth long, a long, b long, up_a long, up_b long, conv_id long, up_id long, "
     "n_convs long, n_children long, n_leaves long, saved_tokens long"
 )
-ROOT = (0, 0)
+ROOT = (0, 0, 0)
+#: Values of a node without conversations of its own, or finished children.
+_NO_ID = (1 << 63) - 1
 
 
 class Parentheses:
@@ -117,31 +123,33 @@ class Shard:
     """Takes sorted records; ``finish`` gives its nodes and, unless it holds all records, its spines."""
 
     def __init__(self) -> None:
-        self.opens: list[bool] = [True]
-        self.up = [-1]
-        self.steps: list[tuple[int, int, int]] = [(*ROOT, 0)]  # key and words of each node
-        self.depth = [0]
-        self.trail = [0]  # nodes of the path being visited
-        self.first: list[int] | None = None  # nodes of the first record's path
-        self.records: list[tuple] = []
+        self.opens: list[bool] = []
+        self.up: list[int] = []
+        self.steps: list[tuple[int, int, int]] = []  # key and words of each node
+        self.depth: list[int] = []
+        self.trail: list[int] = []  # nodes of the path being visited
+        self.first: list[int] = []  # nodes of the first record's path
+        self.values: list[tuple] = []
         self.turns = 0
 
-    def add(self, path: list[tuple[int, int, int]], values: tuple) -> None:
-        shared = 1
-        most = min(len(self.trail) - 1, len(path))
-        while shared <= most and self.steps[self.trail[shared]] == path[shared - 1]:
+    def add(self, path: list[tuple[int, int, int]], values: list[tuple]) -> None:
+        shared, most = 0, min(len(self.trail), len(path))
+        while shared < most and self.steps[self.trail[shared]] == path[shared]:
             shared += 1
         self.opens += [False] * (len(self.trail) - shared)
         del self.trail[shared:]
-        for step in path[shared - 1 :]:
-            self.up.append(self.trail[-1])
+        for step in path[shared:]:
+            self.up.append(self.trail[-1] if self.trail else -1)
             self.depth.append(len(self.trail))
             self.trail.append(len(self.steps))
             self.steps.append(step)
             self.opens.append(True)
-        self.records.append((self.trail[-1], *values))
+        self.values += [(node, *value) for node, value in zip(reversed(self.trail), reversed(values), strict=False)]
         self.first = self.first or list(self.trail)
-        self.turns += len(path) + 1
+        self.turns += len(path)
+
+    def is_full(self, turns: int) -> bool:
+        return self.turns >= max(turns, SHARD_PATHS // 2 * (len(self.first) + len(self.trail)))
 
     def finish(self, whole: bool) -> tuple[list[tuple], list[tuple]]:
         """Finished nodes and records of the spines; with ``whole``, all nodes are finished."""
@@ -154,7 +162,7 @@ class Shard:
         key = np.array([step[:2] for step in self.steps], np.int64)
         words = np.array([step[2] for step in self.steps], np.int64)
 
-        own = np.array(self.records, np.int64)
+        own = np.array(self.values, np.int64)
         members, below, leaves, saved = (np.zeros(count, np.int64) for _ in range(4))
         for values, column in ((members, 1), (below, 3), (leaves, 4), (saved, 5)):
             np.add.at(values, own[:, 0], own[:, column])
@@ -195,26 +203,29 @@ class Shard:
         under = inner[spine[up[inner]]]
         for values, result in ((members, n_convs), (leaves, n_leaves), (saved, saved_tokens), (below, np.ones(count, int))):
             np.add.at(values, up[under], result[under])
+        columns = (members, smallest, below, leaves, saved)
+        own_values = dict(zip(np.flatnonzero(spine).tolist(), zip(*(c[spine].tolist() for c in columns), strict=True), strict=True))
         passed = []
-        for n in np.flatnonzero(spine):
-            path, step = [], n
-            while step > 0:
-                path.append(self.steps[step])
-                step = up[step]
-            values = (members[n], smallest[n], below[n], leaves[n], saved[n])
-            passed.append((path[::-1], *map(int, values)))
+        for path in (self.first, self.trail) if not whole else ():
+            values = [own_values.pop(n, (0, _NO_ID, 0, 0, 0)) for n in path]  # each node's are told once
+            if any(v != (0, _NO_ID, 0, 0, 0) for v in values):
+                passed.append(([self.steps[n] for n in path], values))
         return finished, passed
 
 
-def _records(batch: pa.RecordBatch) -> Iterator[tuple[list[tuple[int, int, int]], tuple]]:
-    paths = batch.column(0)
-    flat = paths.flatten()
-    steps = list(zip(*(flat.field(i).to_pylist() for i in range(3)), strict=True))
-    ends = np.cumsum(np.diff(paths.offsets.to_numpy())).tolist()
+def _listed(column: pa.Array) -> Iterator[list[tuple]]:
+    """Lists of structs as lists of tuples."""
+    flat = column.flatten()
+    items = list(zip(*(flat.field(i).to_pylist() for i in range(flat.type.num_fields)), strict=True))
     begin = 0
-    for end, *values in zip(ends, *(c.to_pylist() for c in batch.columns[1:]), strict=True):
-        yield steps[begin:end], tuple(values)
-        begin = end
+    for length in np.diff(column.offsets.to_numpy()).tolist():
+        yield items[begin : begin + length]
+        begin += length
+
+
+def _structs(lists: list[list[tuple] | None], names: tuple[str, ...]) -> pa.Array:
+    kind = pa.list_(pa.struct([(n, pa.int64()) for n in names]))
+    return pa.array([None if row is None else [dict(zip(names, x, strict=True)) for x in row] for row in lists], kind)
 
 
 def _round(records: DataFrame, turns: int, shard_turns: int) -> DataFrame:
@@ -223,28 +234,31 @@ def _round(records: DataFrame, turns: int, shard_turns: int) -> DataFrame:
     whole = shards == 1
     dealt = records.repartition(1) if whole else records.repartitionByRange(shards, "path")
     node_names = [part.split()[0] for part in _NODE.split(", ")]
-    path_type = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64()), ("w", pa.int64())]))
-    record_names = ["members", "first_id", "children", "leaves", "saved"]
 
     def table(nodes: list[tuple], passed: list[tuple]) -> pa.RecordBatch:
-        rows = [(True, *n, None, *[None] * 5) for n in nodes]
-        rows += [
-            (False, *[None] * len(node_names), [dict(zip("abw", s, strict=True)) for s in path], *values)
-            for path, *values in passed
-        ]
-        kinds = [pa.bool_(), *[pa.int64()] * len(node_names), path_type, *[pa.int64()] * 5]
-        columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
-        return pa.RecordBatch.from_arrays(columns, ["done", *node_names, "path", *record_names])
+        rows = [*nodes, *[(None,) * len(node_names)] * len(passed)]
+        done = [True] * len(nodes) + [False] * len(passed)
+        paths, values = ([None] * len(nodes) + [p[i] for p in passed] for i in (0, 1))
+        columns = [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)]
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(done),
+                *columns,
+                _structs(paths, ("a", "b", "w")),
+                _structs(values, ("members", "first_id", "children", "leaves", "saved")),
+            ],
+            ["done", *node_names, "path", "values"],
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = Shard()
         for batch in batches:
-            for path, values in _records(batch):
-                if not whole and shard.turns >= shard_turns:
+            for path, values in zip(_listed(batch.column(0)), _listed(batch.column(1)), strict=True):
+                if not whole and shard.steps and shard.is_full(shard_turns):
                     yield table(*shard.finish(False))
                     shard = Shard()
                 shard.add(path, values)
-        if shard.records:
+        if shard.steps:
             yield table(*shard.finish(whole))
 
     return dealt.sortWithinPartitions("path").mapInArrow(run, f"done boolean, {_NODE}, {_RECORD}")
@@ -295,19 +309,19 @@ def _paths(conversations: DataFrame) -> DataFrame:
         for batch in batches:
             ends, paths = [], []
             for turns in batch.column(1).to_pylist():
-                key, path = b"", []
+                key, path = b"", [ROOT]
                 for turn in turns:
                     key = hashlib.sha256(key + turn["digest"]).digest()[:16]
                     a, b = struct.unpack(">qq", key)
-                    path.append({"a": a, "b": b, "w": turn["w"]})
-                ends.append((path[-1]["a"], path[-1]["b"]) if path else ROOT)
+                    path.append((a, b, turn["w"]))
+                ends.append(path[-1])
                 paths.append(path)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
                     pa.array([e[0] for e in ends], pa.int64()),
                     pa.array([e[1] for e in ends], pa.int64()),
-                    pa.array(paths, pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64()), ("w", pa.int64())]))),
+                    _structs(paths, ("a", "b", "w")),
                 ],
                 ["conv_id", "a", "b", "path"],
             )
@@ -388,23 +402,25 @@ def prefix_trie(conversations: DataFrame, shard_turns: int = SHARD_TURNS) -> Dat
     any conversation there is no node, nor a root.
     """
     paths = stored(_paths(conversations), "paths")
+    zero = F.lit(0).cast("long")
+    own = (F.count(F.lit(1)).alias("members"), F.min("conv_id").alias("first_id"))
+    others = (zero.alias(name) for name in ("children", "leaves", "saved"))
     records = stored(
-        paths.groupBy("path")
-        .agg(F.count(F.lit(1)).alias("members"), F.min("conv_id").alias("first_id"))
-        .withColumns({name: F.lit(0).cast("long") for name in ("children", "leaves", "saved")}),
+        paths.groupBy("path").agg(*own).select("path", F.array(F.struct("members", "first_id", *others)).alias("values")),
         "records",
     )
     nodes, spines = None, None
-    while turns := records.agg(F.sum(F.size("path").cast("long") + 1).alias("n")).first()["n"]:
-        result = stored(_round(records, turns, shard_turns), "nodes")
+    length = F.size("path").cast("long")
+    while (held := records.agg(F.sum(length).alias("turns"), F.max(length).alias("longest")).first())["turns"]:
+        result = stored(_round(records, held["turns"], max(shard_turns, SHARD_PATHS * held["longest"])), "nodes")
         done = result.filter("done").select([part.split()[0] for part in _NODE.split(", ")])
         if nodes is None:
             nodes = done
         else:
             nodes = nodes.unionByName(done)
             spines = done if spines is None else spines.unionByName(done)
-        records = result.filter("NOT done").select([part.split()[0] for part in _RECORD.split(", ")])
-        shard_turns *= 4  # so that one shard holds the rest some time, however long its paths are
+        records = result.filter("NOT done").select("path", "values")
+        shard_turns *= 2  # small tasks pass on more; one shard holds the rest some time
     if nodes is None:
         nodes = records.sparkSession.createDataFrame([], _NODE)
     if spines is not None:
