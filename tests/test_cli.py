@@ -3,8 +3,9 @@
 from helpers import at, event, events, multiset
 from tidemark.__main__ import main
 from tidemark.contract import LIQUIDITY, SILVER
-from tidemark.operators.compact import compacted_root
-from tidemark.sources.tables import read_table, read_with_compacted, table_root
+from tidemark.sources.folders import Folders
+from tidemark.sources.layers import compacted_root, read_layered
+from tidemark.sources.tables import read_table, table_root
 
 
 def test_pipeline(spark, salt, tmp_path, monkeypatch, capsys):
@@ -32,10 +33,33 @@ def test_pipeline(spark, salt, tmp_path, monkeypatch, capsys):
 
     tables = "lake.silver.transactions, lake.gold.gold_hourly_liquidity"
     assert main(["compact", "--tables", tables, "--end-key", "2026053012"], spark) == 0
-    compacted = table_root(compacted_root(lake), SILVER)
-    assert read_table(spark, compacted, SILVER).count() == 3
-    both = read_with_compacted(spark, live, compacted, SILVER, 2026053012)
-    assert multiset(both) == multiset(read_table(spark, live, SILVER))
+    assert read_table(spark, compacted_root(lake, SILVER), SILVER).count() == 3
+    rows = multiset(read_table(spark, live, SILVER))
+    assert multiset(read_layered(spark, lake, SILVER)) == rows
+
+    # Gold, checks and counts read the compacted layer: the closed hours need not be live any more.
+    main(["gold", "--full-refresh"], spark)
+    before = multiset(read_table(spark, table_root(lake, LIQUIDITY), LIQUIDITY).drop("model_updated_at"))
+    capsys.readouterr()
+    main(["counts"], spark)
+    counts = capsys.readouterr().out
+    assert main(["compact", "--tables", tables.split(",")[0], "--expire"], spark) == 0
+    assert "loads expired" in capsys.readouterr().out
+    assert Folders(spark, live).hours(end_key=2026053013, whole=True) != []
+    assert read_table(spark, live, SILVER).count() < len(rows)
+    assert multiset(read_layered(spark, lake, SILVER)) == rows
+    main(["gold", "--full-refresh"], spark)
+    assert multiset(read_table(spark, table_root(lake, LIQUIDITY), LIQUIDITY).drop("model_updated_at")) == before
+    assert main(["check"], spark) == 0
+    capsys.readouterr()
+    main(["counts"], spark)
+    assert capsys.readouterr().out == counts
+    assert main(["init"], spark) == 0
+    try:
+        assert spark.table("silver.transactions").count() == read_table(spark, live, SILVER).count()
+    finally:
+        for namespace in ("bronze", "silver", "gold"):
+            spark.sql(f"DROP DATABASE IF EXISTS {namespace} CASCADE")
 
 
 def test_check_reports_failures(spark, salt, tmp_path, monkeypatch, capsys):

@@ -8,18 +8,21 @@ from helpers import at, event, events, multiset
 from tidemark.contract import BRONZE, LIQUIDITY, REJECTED, SILVER, TABLES
 from tidemark.operators import medallion as m
 from tidemark.operators.compact import compact_partitions
-from tidemark.operators.gold import hourly_liquidity
+from tidemark.operators.gold import hourly_liquidity, in_hours
 from tidemark.plans.medallion_batch import build_bronze, build_silver
 from tidemark.sources.tables import (
+    add_partitions,
+    complete_loads,
     create_tables,
+    read_hours,
     read_table,
-    recover_partitions,
-    table_counts,
     table_root,
     write_load,
     write_silver,
     write_table,
 )
+from tidemark.sources.folders import Folders
+from tidemark.sources.layers import table_counts
 from tidemark.sources.transactions import avro_contract, load_transactions, read_transactions, registry_payload
 
 HOUR = 3600
@@ -66,6 +69,28 @@ def test_load_is_replaced_on_replay(spark, raw, salt, tmp_path):
     assert table.columns == SILVER.columns and table.count() == 24
 
 
+def test_hours_are_read_from_their_own_folders(spark, salt, tmp_path):
+    root = str(tmp_path / "silver")
+    _fragmented(spark, root, salt, hours=30)
+    for bounds in ({"start_key": 2026053022}, {"start_key": 2026053013, "end_key": 2026053014}, {"end_key": 2026053012}):
+        rows = read_hours(spark, root, SILVER, **bounds)
+        wanted = in_hours(read_table(spark, root, SILVER), **bounds)
+        assert multiset(rows) == multiset(wanted) != []
+        opened = rows.inputFiles()
+        # Three loads of each hour, and no file of any other hour is even listed.
+        assert len(opened) == 3 * wanted.select("day", "hour").distinct().count()
+    assert read_hours(spark, root, SILVER, 2026060100).count() == 0
+    assert Folders(spark, root).hours(2026050100, 2026053123) == ["year=2026/month=5"]
+
+
+def test_loads_have_names_with_numbers(spark, raw, salt, tmp_path):
+    silver = m.to_silver(m.valid(m.with_event_time(raw)), salt)
+    with pytest.raises(ValueError, match="name of a load"):
+        write_silver(silver, str(tmp_path), "batch")
+    write_silver(silver, str(tmp_path), "some-query-7")
+    assert complete_loads(spark, str(tmp_path)) == {"some-query": 7}
+
+
 def test_hot_hour_is_split_over_files(spark, tmp_path):
     rows = spark.range(0, 40000, 1, 8).select(
         *[F.lit(None).cast(f.dataType).alias(f.name) for f in SILVER.schema if f.name not in ("transaction_id", "year", "month", "day", "hour")],
@@ -93,8 +118,14 @@ def test_catalog_tables(spark, raw, salt, tmp_path):
     create_tables(spark, warehouse)
     create_tables(spark, warehouse)
     try:
-        recover_partitions(spark, warehouse)
+        assert add_partitions(spark, warehouse) == 4 + 4
         assert spark.sql("SELECT count(*) FROM silver.transactions").first()[0] == 12
+        # A later load: only the partitions of its hours are looked for, and only new ones added.
+        write_load(silver, table_root(warehouse, SILVER), SILVER, "q-1")
+        assert add_partitions(spark, warehouse, 2026053013, 2026053013) == 1
+        assert add_partitions(spark, warehouse) == 3
+        assert add_partitions(spark, warehouse) == 0
+        assert spark.sql("SELECT count(*) FROM silver.transactions WHERE load = 'q-1'").first()[0] == 12
         assert spark.sql("SELECT sum(transaction_count) FROM gold.gold_hourly_liquidity").first()[0] == 12
         assert spark.sql("SELECT account_id, device_id FROM silver.transactions LIMIT 5").count() == 5
         assert spark.table("bronze.transactions_rejected").count() == 0

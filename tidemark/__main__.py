@@ -6,22 +6,17 @@ import argparse
 import logging
 import os
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.config import PipelineConfig
+from tidemark.config import PipelineConfig, table_for
 from tidemark.contract import ALERTS, LIQUIDITY, SILVER
 from tidemark.operators.compact import FULL_FILE, SMALL_FILE, compact_tables
 from tidemark.operators.quality import run_checks
 from tidemark.plans.gold_build import LOOKBACK_HOURS, MODELS, build_gold
 from tidemark.session import with_settings
-from tidemark.sources.tables import (
-    create_tables,
-    read_silver,
-    read_table,
-    recover_partitions,
-    table_counts,
-    table_root,
-)
+from tidemark.sources.journal import recover
+from tidemark.sources.layers import expire_compacted, read_layered, table_counts
+from tidemark.sources.tables import add_partitions, create_tables, read_table, table_root
 from tidemark.sources.transactions import read_transactions_kafka, read_transactions_stream
 from tidemark.streaming.medallion import start_medallion
 
@@ -31,7 +26,9 @@ DEFAULT_TABLES = "lake.silver.transactions"
 def parser() -> argparse.ArgumentParser:
     root = argparse.ArgumentParser(prog="tidemark")
     commands = root.add_subparsers(dest="command", required=True)
-    commands.add_parser("init", help="create namespaces and register the tables in the catalog")
+    init = commands.add_parser("init", help="register the tables, and their new partitions, in the catalog")
+    init.add_argument("--start-key", type=int, help="look for new partitions from this hour on")
+    init.add_argument("--end-key", type=int)
     stream = commands.add_parser("stream", help="run the Bronze and Silver streams")
     stream.add_argument("--path", help="folder of Parquet events instead of the Kafka topic")
     stream.add_argument("--max-files", type=int, default=1_000, help="files of --path per micro-batch")
@@ -49,8 +46,9 @@ def parser() -> argparse.ArgumentParser:
     compact.add_argument("--tables", default=os.environ.get("COMPACT_TABLES", DEFAULT_TABLES))
     compact.add_argument("--threshold", default=SMALL_FILE)
     compact.add_argument("--target", default=FULL_FILE)
-    compact.add_argument("--start-key", type=int)
-    compact.add_argument("--end-key", type=int)
+    compact.add_argument("--start-key", type=int, help="first hour of tables compacted in place")
+    compact.add_argument("--end-key", type=int, help="last hour; by default the last closed one of a streamed table")
+    compact.add_argument("--expire", action="store_true", help="delete live loads that have been taken in")
     return root
 
 
@@ -63,7 +61,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
 
     if args.command == "init":
         create_tables(spark, warehouse)
-        recover_partitions(spark, warehouse)
+        print(f"{add_partitions(spark, warehouse, args.start_key, args.end_key)} partitions added")
     elif args.command == "stream":
         if args.path:
             raw = read_transactions_stream(spark, args.path, args.max_files)
@@ -74,7 +72,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         # The process ends with its last thread, so a detached start only makes sense within a session.
         start_medallion(raw, config, wait=True, available_now=args.available_now)
     elif args.command == "gold":
-        silver = read_silver(spark, table_root(warehouse, SILVER))
+        def silver(start_key: int | None, end_key: int | None) -> DataFrame:
+            return read_layered(spark, warehouse, SILVER, start_key, end_key)
+
         for model in args.model or MODELS:
             build_gold(
                 spark,
@@ -87,7 +87,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
                 full_refresh=args.full_refresh,
             )
     elif args.command == "check":
-        tables = {s.name: read_table(spark, table_root(warehouse, s), s) for s in (SILVER, LIQUIDITY, ALERTS)}
+        for spec in (LIQUIDITY, ALERTS):
+            recover(spark, table_root(warehouse, spec))
+        tables = {s.name: read_table(spark, table_root(warehouse, s), s) for s in (LIQUIDITY, ALERTS)}
+        tables[SILVER.name] = read_layered(spark, warehouse, SILVER)
         failed = run_checks(tables).where("failures > 0").collect()  # at most one row per check
         for row in failed:
             print(row.asDict())
@@ -100,6 +103,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         )
         for name, report in reports.items():
             print(name, report)
+            if args.expire and table_for(name).streamed:
+                print(name, expire_compacted(spark, warehouse, table_for(name)), "loads expired")
     return 0
 
 

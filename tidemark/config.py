@@ -70,7 +70,7 @@ class PipelineConfig:
     dedup_window_minutes: int = 1
     watermark_lateness_seconds: int = 5
     trigger_interval_ms: int = 300_000
-    parallelism: int = 2
+    parallelism: int | None = None
     wait_for_job: bool = False
 
     def __post_init__(self) -> None:
@@ -82,12 +82,17 @@ class PipelineConfig:
             "parallelism": 1,
         }
         for name, bound in least.items():
-            object.__setattr__(self, name, max(bound, getattr(self, name)))
+            if getattr(self, name) is not None:
+                object.__setattr__(self, name, max(bound, getattr(self, name)))
 
     @property
     def stream_conf(self) -> dict[str, str]:
-        """Session settings a stream takes over when it starts; its first start fixes the parallelism."""
-        return {"spark.sql.shuffle.partitions": str(self.parallelism), **STATE_CONF}
+        """Session settings a stream takes over when it starts; its first start fixes the state partitions.
+
+        Without a parallelism of its own it has the session's shuffle partitions.
+        """
+        own = {} if self.parallelism is None else {"spark.sql.shuffle.partitions": str(self.parallelism)}
+        return {**own, **STATE_CONF}
 
     @classmethod
     def from_env(cls, env: Mapping[str, str] | None = None) -> PipelineConfig:
@@ -109,9 +114,9 @@ class PipelineConfig:
         )
 
 
-def _number(env: Mapping[str, str], name: str, default: int) -> int:
+def _number(env: Mapping[str, str], name: str, default: int | None) -> int | None:
     try:
-        return int(env.get(name, default))
+        return int(env[name]) if name in env else default
     except ValueError:
         LOGGER.warning("%s=%r is not a whole number; using %s", name, env[name], default)
         return default

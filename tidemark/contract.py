@@ -51,7 +51,7 @@ class TableSpec:
     schema: T.StructType
     partition_by: tuple[str, ...] = ()
     sort_by: tuple[str, ...] = ()
-    # Streamed tables hold one ``load=`` folder per micro-batch above their own partition folders.
+    # Streamed tables hold one ``load=`` folder per micro-batch, below their own partition folders.
     streamed: bool = False
     key: tuple[str, ...] = field(default=())
 

@@ -43,6 +43,16 @@ def split_hour_key(key: int | Column) -> list:
     return [part(1_000_000), part(10_000) % 100, part(100) % 100, key % 100]
 
 
+def hour_of_folders(values: tuple[int, ...]) -> tuple[int, int]:
+    """Keys of the first and the last hour that may lie below folders of a year, month, day and hour, as far as given."""
+    first, last = (0, 1, 1, 0), (9999, 12, 31, 23)
+    keys = []
+    for rest in (first, last):
+        year, month, day, hour = (*values, *rest[len(values) :])
+        keys.append(year * 1_000_000 + month * 10_000 + day * 100 + hour)
+    return keys[0], keys[1]
+
+
 def partition_hour_filter(op: str, key: int | Column, alias: str | None = None) -> Column:
     """Compare a row's partition with a packed key.
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,16 +14,12 @@ from tidemark.functions.partition_hours import cutoff_hour_key
 from tidemark.operators.gold import fraud_alerts, hourly_liquidity, in_hours
 from tidemark.operators.merge import merge_incremental
 from tidemark.session import use_utc
-from tidemark.sources.tables import (
-    read_marker,
-    read_table,
-    staging_folder,
-    table_root,
-    write_marker,
-    write_table,
-)
+from tidemark.sources.journal import BUILT, begin, read_marker, recover, write_marker
+from tidemark.sources.tables import read_hours, read_table, table_root, write_table
 
 LOOKBACK_HOURS = 48
+#: Silver rows, or a function that reads those within hour bounds (``start_key``, ``end_key``, both may be None).
+Silver = DataFrame | Callable[..., DataFrame]
 
 
 @dataclass(frozen=True)
@@ -43,7 +39,7 @@ MODELS = {
 def build_gold(
     spark: SparkSession,
     model: str | GoldModel,
-    silver: DataFrame,
+    silver: Silver,
     warehouse: str,
     as_of: datetime | None = None,
     lookback_hours: int = LOOKBACK_HOURS,
@@ -58,42 +54,50 @@ def build_gold(
     not built, so an interrupted first build is done again in full. Later builds recompute the hours
     from ``as_of - lookback_hours`` on and merge them by key with the same hours of the table; older
     partitions are neither read nor written. Columns that the table has and the model lacks stay.
-    Silver without any row is refused: Gold would be marked as built from nothing.
+    Silver without any row is refused: Gold would be marked as built from nothing. A merge that died
+    while it replaced hours is finished first.
     """
     use_utc(spark)
-    if silver.isEmpty():
-        raise ValueError("Silver has no rows yet; Gold is built once there are some")
     model = MODELS[model] if isinstance(model, str) else model
     root = table_root(warehouse, model.spec)
+    recover(spark, root)
     bounds = {"start_key": start_key, "end_key": end_key}
     built = None if full_refresh else read_marker(spark, root)
     if built is None:
-        rows = model.rows(silver, **bounds)
+        if _within(silver).isEmpty():
+            raise ValueError("Silver has no rows yet; Gold is built once there are some")
+        rows = model.rows(_within(silver, **bounds), **bounds)
         spec = model.spec.with_columns(rows.schema)
         write_table(rows, root, spec)
+        write_marker(spark, root, spec.schema)
     else:
         cutoff = cutoff_hour_key(as_of, lookback_hours)
-        updates = model.rows(silver, cutoff_key=cutoff, **bounds)
+        first = cutoff if start_key is None else max(cutoff, start_key)
+        updates = model.rows(_within(silver, first, end_key), cutoff_key=cutoff, **bounds)
         spec = model.spec.with_columns(append_new_columns(built, updates.schema))
-        merge_into(spark, root, spec, read_table(spark, root, spec), updates, cutoff)
-    write_marker(spark, root, spec.schema)
+        merge_into(spark, root, spec, updates, cutoff)
     return root
 
 
-def merge_into(
-    spark: SparkSession, root: str, spec: TableSpec, table: DataFrame, updates: DataFrame, cutoff: int
-) -> None:
+def _within(silver: Silver, start_key: int | None = None, end_key: int | None = None) -> DataFrame:
+    return silver if isinstance(silver, DataFrame) else silver(start_key=start_key, end_key=end_key)
+
+
+def merge_into(spark: SparkSession, root: str, spec: TableSpec, updates: DataFrame, cutoff: int) -> None:
     """Upsert ``updates`` into the partitions of a table from hour ``cutoff`` on.
 
-    Both the updates and the merged hours are first written below the warehouse's staging folder. The
-    updates are thus computed once although the merge reads them several times, the table is not
-    overwritten while it is being read, and should the last step die half way, the merged hours are
-    still there to be written again. The key fixes a row's hour, so no hour is emptied by a merge.
+    The updates are written beside the table first, so they are computed once although the merge
+    reads them several times. The merged hours are staged and noted in the table's journal before
+    they take their places, so a job that dies on the way leaves the table as it was or as it is
+    going to be. The key fixes a row's hour, so no hour is emptied by a merge.
     """
     lacking = {f.name: F.lit(None).cast(f.dataType) for f in spec.schema if f.name not in updates.columns}
-    update_root = staging_folder(root, "updates")
-    write_table(in_hours(updates, cutoff_key=cutoff).withColumns(lacking), update_root, spec)
+    change = begin(spark, root, "merge", note={BUILT: spec.schema.jsonValue()})
+    update_root = change.beside("updates")
+    # Partitions would only cost files here: the merge reads all of these rows.
+    write_table(in_hours(updates, cutoff_key=cutoff).withColumns(lacking), update_root, replace(spec, partition_by=()))
     staged = read_table(spark, update_root, spec)
-    merged_root = staging_folder(root, "merged")
-    write_table(merge_incremental(in_hours(table, cutoff_key=cutoff), staged, spec.key), merged_root, spec)
-    write_table(read_table(spark, merged_root, spec), root, spec, dynamic=True, rebalance=False)
+    table = read_hours(spark, root, spec, start_key=cutoff)
+    write_table(merge_incremental(table, staged, spec.key), change.staging, spec)
+    change.stage()
+    change.finish()

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import json
-import uuid
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -13,13 +11,15 @@ from pyspark.sql import types as T
 
 from tidemark.contract import TABLES, TableSpec, append_new_columns
 from tidemark.functions.partition_hours import partition_hour_filter
+from tidemark.sources.folders import Folders
 
 LOAD = "load"
+# Beside the loads of a streamed table: per stream query, the number of the last load that is complete.
+LOADS = "_loads"
 # Least partitions before adaptive execution merges and splits them. Hours should rarely share one,
 # since a partition that is split gives each part a share of all its hours.
 REBALANCE_PARTITIONS = 1024
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-BUILT = "_built"
 
 
 def table_root(warehouse: str, spec: TableSpec) -> str:
@@ -31,36 +31,31 @@ def read_table(spark: SparkSession, root: str, spec: TableSpec) -> DataFrame:
     return spark.read.schema(spec.schema).parquet(root).select(spec.columns)
 
 
-def staging_folder(root: str, purpose: str) -> str:
-    """A fresh folder beside a table, so on the same shared storage; readers skip such names."""
-    return f"{root.rstrip('/')}/_staging/{purpose}-{uuid.uuid4().hex}"
-
-
-def _file_system(spark: SparkSession, path: str):
-    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm_path
-
-
-def read_marker(spark: SparkSession, root: str) -> T.StructType | None:
-    """The schema of a table whose build has been finished; None for any other folder."""
-    system, path = _file_system(spark, f"{root}/{BUILT}")
-    if not system.exists(path):
-        return None
-    stream = system.open(path)
-    try:
-        return T.StructType.fromJson(json.loads(bytes(stream.readAllBytes()).decode()))
-    finally:
-        stream.close()
-
+def read_hours(
+    spark: SparkSession,
+    root: str,
+    spec: TableSpec,
+    start_key: int | None = None,
+    end_key: int | None = None,
+    with_load: bool = False,
+) -> DataFrame:
+    """Rows of a table within hour bounds, both ends included. Only folders of these hours are listed.
 
-def write_marker(spark: SparkSession, root: str, schema: T.StructType) -> None:
-    """Note that a table is built. Overwriting a table as a whole takes the marker away again."""
-    system, path = _file_system(spark, f"{root}/{BUILT}")
-    stream = system.create(path, True)
-    try:
-        stream.write(bytearray(schema.json().encode()))
-    finally:
-        stream.close()
+    ``with_load`` keeps the ``load`` of a streamed table's rows.
+    """
+    load = [T.StructField(LOAD, T.StringType())] if with_load else []
+    schema = T.StructType([*spec.schema.fields, *load])
+    reader = spark.read.schema(schema)
+    if start_key is None and end_key is None and Folders(spark, root).exists(""):
+        return reader.parquet(root).select(schema.fieldNames())
+    folders = Folders(spark, root).hours(start_key, end_key)
+    if not folders:
+        return spark.createDataFrame([], schema)
+    rows = reader.option("basePath", root).parquet(*[f"{root.rstrip('/')}/{f}" for f in folders])
+    for op, key in ((">=", start_key), ("<=", end_key)):
+        if key is not None:
+            rows = rows.where(partition_hour_filter(op, key))
+    return rows.select(schema.fieldNames())
 
 
 def open_table(spark: SparkSession, root: str, spec: TableSpec) -> DataFrame | None:
@@ -73,32 +68,21 @@ def open_table(spark: SparkSession, root: str, spec: TableSpec) -> DataFrame | N
         return None
 
 
-def read_with_compacted(
-    spark: SparkSession, live: str, compacted: str, spec: TableSpec, through_key: int
-) -> DataFrame:
-    """A streamed table whose hours up to ``through_key`` come from their compacted copy.
-
-    Both branches prune by partition, so the many small files of closed hours are not opened, and
-    loads that hold closed hours only may be removed from the live root.
-    """
-    closed = read_table(spark, compacted, spec).where(partition_hour_filter("<=", through_key))
-    return closed.unionByName(read_table(spark, live, spec).where(partition_hour_filter(">", through_key)))
-
-
 def read_silver(spark: SparkSession, root: str) -> DataFrame:
     return read_table(spark, root, TABLES["silver.transactions"])
 
 
-def _writer(df: DataFrame, spec: TableSpec, mode: str, dynamic: bool):
+def _writer(df: DataFrame, spec: TableSpec, mode: str, dynamic: bool, load: bool = False):
     # Ordering by the partition columns first is what the partitioned writer needs anyway, so the
     # in-file order costs no second sort.
-    ordered = df.sortWithinPartitions(*spec.partition_by, *spec.sort_by)
+    partitions = [*spec.partition_by, *([LOAD] if load else [])]
+    ordered = df.sortWithinPartitions(*partitions, *spec.sort_by)
     writer = (
         ordered.write.mode(mode)
         .option("compression", "zstd")
         .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
     )
-    return writer.partitionBy(*spec.partition_by) if spec.partition_by else writer
+    return writer.partitionBy(*partitions) if partitions else writer
 
 
 def _table_columns(df: DataFrame, spec: TableSpec) -> DataFrame:
@@ -116,16 +100,40 @@ def write_table(
     hour neither ends in one task nor leaves one sliver per upstream task.
     """
     rows = _table_columns(df, spec)
-    if rebalance:
-        # A session for many hours sets more initial partitions; fewer than the least would mix hours.
-        initial = int(df.sparkSession.conf.get(INITIAL_PARTITIONS, None) or 0)
-        rows = rows.hint("rebalance", max(REBALANCE_PARTITIONS, initial), *spec.partition_by)
-    _writer(rows, spec, "overwrite", dynamic).parquet(root)
+    _writer(_rebalanced(rows, spec) if rebalance else rows, spec, "overwrite", dynamic).parquet(root)
+
+
+def _rebalanced(rows: DataFrame, spec: TableSpec) -> DataFrame:
+    # A session for many hours sets more initial partitions; fewer than the least would mix hours.
+    initial = int(rows.sparkSession.conf.get(INITIAL_PARTITIONS, None) or 0)
+    return rows.hint("rebalance", max(REBALANCE_PARTITIONS, initial), *spec.partition_by)
+
+
+def split_load(load: Column) -> tuple[Column, Column]:
+    """The stream query of a load, and the load's number."""
+    number = F.regexp_extract(load, "-([0-9]+)$", 1)
+    return F.regexp_extract(load, "^(.*)-[0-9]+$", 1), F.try_to_number(number, F.lit("9" * 18)).cast("long")
 
 
 def write_load(df: DataFrame, root: str, spec: TableSpec, load_id: str) -> None:
-    """Append one micro-batch as its own ``load=`` folder; a replay of the batch replaces that folder."""
-    write_table(df, f"{root}/{LOAD}={load_id}", spec)
+    """Add one micro-batch, named ``<query>-<number>``; a replay of the batch replaces its rows.
+
+    Its folders lie below those of the hours, so that a reader of some hours lists these alone. Once all are
+    there, the load is noted as complete; loads of a query are written one after the other.
+    """
+    query, _, number = load_id.rpartition("-")
+    if not query or not number.isdigit():
+        raise ValueError(f"not the name of a load: {load_id!r}")
+    rows = _rebalanced(_table_columns(df, spec), spec).withColumn(LOAD, F.lit(load_id))
+    _writer(rows, spec, "overwrite", dynamic=True, load=True).parquet(root)
+    Folders(df.sparkSession, root).write_json(f"{LOADS}/{query}", {"last": int(number)})
+
+
+def complete_loads(spark: SparkSession, root: str) -> dict[str, int]:
+    """Per stream query the number of its last complete load."""
+    folders = Folders(spark, root)
+    queries = [name for name in folders.names(LOADS) if not name.startswith(".")]
+    return {query: found["last"] for query in queries if (found := folders.read_json(f"{LOADS}/{query}"))}
 
 
 def write_bronze(df: DataFrame, root: str, load_id: str) -> None:
@@ -149,16 +157,10 @@ def count_rows(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
-def table_counts(spark: SparkSession, warehouse: str, names: list[str] | None = None) -> DataFrame:
-    return count_rows(
-        {name: read_table(spark, table_root(warehouse, TABLES[name]), TABLES[name]) for name in names or TABLES}
-    )
-
-
 def create_tables(spark: SparkSession, warehouse: str) -> None:
     """Create the namespaces and register every table in the session catalog, as far as missing.
 
-    Streamed tables list ``load`` as their first partition column. Run :func:`recover_partitions`
+    Streamed tables list ``load`` as their last partition column. Run :func:`add_partitions`
     after new data has landed to make it visible to SQL.
     """
     for namespace in dict.fromkeys(name.split(".")[0] for name in TABLES):
@@ -168,7 +170,7 @@ def create_tables(spark: SparkSession, warehouse: str) -> None:
         fields = [f for f in spec.schema if f.name not in partitions]
         fields += [f for f in spec.schema if f.name in partitions]
         if LOAD in partitions:
-            fields.insert(len(fields) - len(spec.partition_by), T.StructField(LOAD, T.StringType()))
+            fields.append(T.StructField(LOAD, T.StringType()))
         columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fields)
         clustering = f"PARTITIONED BY ({', '.join(partitions)})" if partitions else ""
         location = table_root(warehouse, spec).replace("'", "\\'")
@@ -179,11 +181,39 @@ def create_tables(spark: SparkSession, warehouse: str) -> None:
 
 
 def _catalog_partitions(spec: TableSpec) -> list[str]:
-    return [*([LOAD] if spec.streamed else []), *spec.partition_by]
+    return [*spec.partition_by, *([LOAD] if spec.streamed else [])]
+
+
+#: Partitions that one statement adds to the catalog.
+ADDED_TOGETHER = 500
 
 
-def recover_partitions(spark: SparkSession, warehouse: str) -> None:
-    """Make partitions written since :func:`create_tables` visible to SQL."""
+def add_partitions(spark: SparkSession, warehouse: str, start_key: int | None = None, end_key: int | None = None) -> int:
+    """Make partitions visible to SQL that the catalog does not know yet; returns their number.
+
+    With bounds, only the folders of those hours are listed and only their partitions compared.
+    """
+    added = 0
     for spec in TABLES.values():
-        if _catalog_partitions(spec) and open_table(spark, table_root(warehouse, spec), spec) is not None:
-            spark.catalog.recoverPartitions(spec.name)
+        partitions = _catalog_partitions(spec)
+        if not partitions:
+            continue
+        folders = Folders(spark, table_root(warehouse, spec))
+        found = folders.hours(start_key, end_key, whole=True) if spec.partition_by else [""]
+        if spec.streamed:
+            loads = ((f, n) for f in found for n in folders.names(f) if n.startswith(f"{LOAD}="))
+            found = [f"{folder}/{name}" if folder else name for folder, name in loads]
+        listed = spark.sql(f"SHOW PARTITIONS {spec.name}")
+        wanted = spark.createDataFrame([(f,) for f in found], "partition string")
+        new = [r["partition"] for r in wanted.join(listed, "partition", "left_anti").sort("partition").collect()]
+        for first in range(0, len(new), ADDED_TOGETHER):
+            clauses = [_partition_clause(name) for name in new[first : first + ADDED_TOGETHER]]
+            spark.sql(f"ALTER TABLE {spec.name} ADD IF NOT EXISTS {' '.join(clauses)}")
+        added += len(new)
+    return added
+
+
+def _partition_clause(folder: str) -> str:
+    values = (part.partition("=") for part in folder.split("/"))
+    told = ", ".join(f"{name} = '{value}'" if name == LOAD else f"{name} = {int(value)}" for name, _, value in values)
+    return f"PARTITION ({told})"
