@@ -166,6 +166,18 @@ def page(data: bytes) -> dict:
     }
 
 
+def _sample(rows: DataFrame) -> DataFrame:
+    """``begin``: the first ``SAMPLE_CHARACTERS`` of about ``SAMPLE_PAGES`` pages, picked by a hash of the whole row.
+
+    A share of the hashes is taken, and equal rows count once, so each task passes on its share of a
+    bounded sample, however many pages there are and however often one is repeated.
+    """
+    share = int(min(1.0, SAMPLE_PAGES / max(1, rows.count())) * (1 << 32))
+    picked = F.xxhash64("page_id", "url", "html", F.lit("sample"))
+    begins = rows.select(picked.alias("picked"), F.substring("html", 1, SAMPLE_CHARACTERS).alias("begin"))
+    return begins.filter(F.pmod("picked", F.lit(1 << 32)) < share).dropDuplicates(["picked"]).orderBy("picked").select("begin")
+
+
 def write_archives(pages: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
     """Write a record for every row of ``pages`` (page_id, url, html); returns ``path``, ``records`` per archive.
 
@@ -179,8 +191,7 @@ def write_archives(pages: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
         F.col("url").cast("string").alias("url"),
         F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"),
     )
-    sample = rows.orderBy(F.xxhash64("page_id"), "page_id").limit(SAMPLE_PAGES)
-    samples = [r[0].encode() for r in sample.select(F.substring("html", 1, SAMPLE_CHARACTERS)).collect()]
+    samples = [r["begin"].encode() for r in _sample(rows).collect()]
     dictionary = train_dictionary([s for s in samples if s])
     sums = rows.withColumn("sha1", F.sha1("html"))
     # The length is part of the key only to say which payloads may be left out.
