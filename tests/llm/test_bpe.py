@@ -101,7 +101,6 @@ def test_random_access(tmp_path):
 
 def test_token_files_of_odd_rows(odd, none):
     library = Tokenizer.from_file(tf.VOCABULARY)
-    library.encode_special_tokens = True
     rows = tf.read_token_files(tf.write_token_files(odd)).orderBy("start").collect()
     assert [r.start for r in rows] == np.cumsum([0, *(r.n_tokens for r in rows)])[:-1].tolist()
     assert [r.doc_id for r in rows] == sorted((r.doc_id for r in rows), key=lambda x: -1 if x is None else x)
@@ -112,7 +111,6 @@ def test_token_files_of_odd_rows(odd, none):
 
 def test_query_of_token_files(spark, sf_dir, sample):
     library = Tokenizer.from_file(tf.VOCABULARY)
-    library.encode_special_tokens = True
     start, wanted = 0, {}
     for r in sample.orderBy("doc_id").collect():
         ids = np.array([*library.encode(r.text, add_special_tokens=False).ids, 0], "<u4")
