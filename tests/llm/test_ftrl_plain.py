@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm import toxicity_ftrl as tox
-from tidemark.llm.toxicity_ftrl import coordinates, fit, hashed
+from tidemark.llm.toxicity_ftrl import coordinates, fit
 
 WORDS = ["vile", "awful", "trash", "kind", "lovely", "thanks", "river", "stone", "paper", "window"]
 
@@ -51,13 +51,13 @@ def frame(spark, rows):
 
 def test_one_shard_is_plain_ftrl(spark, texts):
     rows = [(0, turn, y, text) for _, turn, y, text in texts]
-    places, weights = fit(hashed(frame(spark, rows).repartition(5)))
+    places, weights = fit(frame(spark, rows).repartition(5))
     wanted = plain([(coordinates(text).tolist(), y) for _, _, y, text in rows], tox.ROUNDS)
     assert places.tolist() == sorted(wanted)
     assert weights.tolist() == pytest.approx([wanted[i] for i in sorted(wanted)], rel=1e-9)
 
 
 def test_shards_have_tasks_of_their_own(spark, texts):
-    dealt = hashed(frame(spark, texts)).repartitionById(tox.SHARDS, F.col("shard"))
+    dealt = frame(spark, texts).repartitionById(tox.SHARDS, F.col("shard"))
     held = dealt.select("shard", F.spark_partition_id().alias("task")).distinct().collect()
     assert len(held) == len({r.task for r in held}) == tox.SHARDS

@@ -73,26 +73,13 @@ class Ftrl:
         self.n[at] = n + gradient * gradient
 
 
-def hashed(texts: DataFrame) -> DataFrame:
-    """``shard``, ``turn``, ``y``, ``places`` of labelled texts (shard, turn, y, text): their coordinates, hashed once."""
+def fit(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Coordinates and weights that are not zero, of a bounded sample (``shard``, ``turn``, ``y``, ``text``).
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in portions(batch, 3):
-                places = [coordinates(text).astype(np.int32) for text in part.column(3).to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:3], pa.array(places, pa.list_(pa.int32()))], ["shard", "turn", "y", "places"]
-                )
-
-    return texts.select("shard", "turn", "y", "text").mapInArrow(run, "shard int, turn long, y double, places array<int>")
-
-
-def fit(examples: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Coordinates and weights that are not zero, of a bounded sample (``shard``, ``turn``, ``y``, ``places``).
-
-    A shard is learned by one task, in the order of ``turn``; the shards side by side.
+    A shard is learned by one task, in the order of ``turn``; the shards side by side. Texts are
+    hashed anew in each round: their coordinates take more room than they do.
     """
-    spark = examples.sparkSession
+    spark = texts.sparkSession
     state = Ftrl.empty()
     for _ in range(ROUNDS):
         start = spark.sparkContext.broadcast((state.z, state.n))
@@ -100,12 +87,10 @@ def fit(examples: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         def learn(batches: Iterator[pa.RecordBatch], start=start) -> Iterator[pa.RecordBatch]:
             shards: dict[int, Ftrl] = {}
             for batch in batches:
-                ids, labels = (batch.column(i).to_pylist() for i in (0, 1))
-                for row, (shard, label) in enumerate(zip(ids, labels, strict=True)):
+                for shard, label, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                     if shard not in shards:
                         shards[shard] = Ftrl(*(a.copy() for a in start.value))
-                    places = batch.column(2)[row].values.to_numpy(zero_copy_only=False)
-                    shards[shard].learn(places, label)
+                    shards[shard].learn(coordinates(text), label)
             for ftrl in shards.values():
                 seen = np.flatnonzero(ftrl.n)
                 for low in range(0, len(seen), 100_000):
@@ -115,11 +100,11 @@ def fit(examples: DataFrame) -> tuple[np.ndarray, np.ndarray]:
                     )
 
         # By number: a hash of so few shards would put some of them on the same partition.
-        dealt = examples.repartitionById(SHARDS, F.col("shard")).sortWithinPartitions("shard", "turn", "places")
-        learned = dealt.select("shard", "y", "places").mapInArrow(learn, "place long, z double, n double")
+        ordered = texts.repartitionById(SHARDS, F.col("shard")).sortWithinPartitions("shard", "turn", "text")
+        learned = ordered.select("shard", "y", "text").mapInArrow(learn, "place long, z double, n double")
         # Absent means zero, so sums over the shards that there are give the mean.
         mixed = learned.groupBy("place").agg(F.sum("z").alias("z"), F.sum("n").alias("n")).toArrow()
-        shards = max(1, examples.select("shard").distinct().count())
+        shards = max(1, texts.select("shard").distinct().count())
         state = Ftrl.empty()
         at = mixed.column("place").to_numpy()
         state.z[at], state.n[at] = mixed.column("z").to_numpy() / shards, mixed.column("n").to_numpy() / shards
@@ -146,7 +131,7 @@ def score_toxicity(
         "y",
         "text",
     )
-    places, found = fit(stored(hashed(dealt), "toxicity-sample"))
+    places, found = fit(stored(dealt, "toxicity-sample"))
     sent = docs.sparkSession.sparkContext.broadcast((places.astype(np.int32), found))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
