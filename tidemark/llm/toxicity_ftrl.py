@@ -91,23 +91,19 @@ def fit(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
                     if shard not in shards:
                         shards[shard] = Ftrl(*(a.copy() for a in start.value))
                     shards[shard].learn(coordinates(text), label)
-            for ftrl in shards.values():
-                seen = np.flatnonzero(ftrl.n)
-                for low in range(0, len(seen), 100_000):
-                    at = seen[low : low + 100_000]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(at), pa.array(ftrl.z[at]), pa.array(ftrl.n[at])], ["place", "z", "n"]
-                    )
+            for shard, ftrl in shards.items():
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([shard], pa.int32()), *(pa.array([a.tobytes()], pa.binary()) for a in (ftrl.z, ftrl.n))],
+                    ["shard", "z", "n"],
+                )
 
         # By number: a hash of so few shards would put some of them on the same partition.
         ordered = texts.repartitionById(SHARDS, F.col("shard")).sortWithinPartitions("shard", "turn", "text")
-        learned = ordered.select("shard", "y", "text").mapInArrow(learn, "place long, z double, n double")
-        # Absent means zero, so sums over the shards that there are give the mean.
-        mixed = learned.groupBy("place").agg(F.sum("z").alias("z"), F.sum("n").alias("n")).toArrow()
-        shards = max(1, texts.select("shard").distinct().count())
-        state = Ftrl.empty()
-        at = mixed.column("place").to_numpy()
-        state.z[at], state.n[at] = mixed.column("z").to_numpy() / shards, mixed.column("n").to_numpy() / shards
+        learned = ordered.select("shard", "y", "text").mapInArrow(learn, "shard int, z binary, n binary")
+        # A row per shard with the state of all coordinates: a fixed size, whatever the texts are.
+        found = sorted(learned.collect(), key=lambda r: r["shard"])
+        if found:
+            state = Ftrl(*(np.mean([np.frombuffer(r[name]) for r in found], axis=0) for name in ("z", "n")))
         start.unpersist()
     weights = state.weights(np.arange(1 << BITS))
     places = np.flatnonzero(weights)
