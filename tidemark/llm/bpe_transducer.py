@@ -24,14 +24,17 @@ from functools import lru_cache
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.pieces import PieceMemory, pack_ids
-from tidemark.llm.tables import portions
+from tidemark.llm.tables import joined, portions
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
-STATES = 200_000
+STATES = 100_000
+#: Bytes of texts that are cut together: the more, the fewer distinct units for each.
+CUT_TOGETHER = 8_000_000
 #: Ids turned to bytes at once when decoding.
 CHUNK = 1 << 15
 
@@ -253,35 +256,51 @@ def encoded(
     ranks that every executor can open.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory = _memory(vocabulary)
-        for batch in batches:
-            for part in portions(batch, 1):
-                ids = memory.encode([text or "" for text in part.column(1).to_pylist()])
-                counts = pa.array([len(x) // 4 for x in ids], pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), counts, pa.array(ids, pa.binary())], ["doc_id", "n_tokens", "ids"]
-                )
-
-    rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n_tokens long, ids binary")
+    return _texts(docs, id_column, text_column).mapInArrow(
+        lambda batches: _encode(batches, vocabulary), "doc_id long, n_tokens long, ids binary"
+    )
 
 
 def decoded(encodings: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """``encodings`` (doc_id, n_tokens, ids) with the ``text`` of the ids; null ids count as none."""
+    return encodings.select("doc_id", "n_tokens", "ids").mapInArrow(
+        lambda batches: _decode(batches, vocabulary), "doc_id long, n_tokens long, ids binary, text string"
+    )
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token_bytes = _token_bytes(vocabulary)
-        for batch in batches:
-            texts = []
-            for data in batch.column(2).to_pylist():
-                ids = np.frombuffer(data or b"", "<u4")
-                portions = (ids[i : i + CHUNK] for i in range(0, len(ids), CHUNK))
-                texts.append("".join(decode_stream(portions, token_bytes)))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(texts, pa.string())], ["doc_id", "n_tokens", "ids", "text"]
-            )
 
-    return encodings.select("doc_id", "n_tokens", "ids").mapInArrow(
-        run, "doc_id long, n_tokens long, ids binary, text string"
+def round_trip(
+    docs: DataFrame, vocabulary: str = VOCABULARY, id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
+    """What ``decoded(encoded(docs))`` gives, with both steps in the same worker."""
+    return _texts(docs, id_column, text_column).mapInArrow(
+        lambda batches: _decode(_encode(batches, vocabulary), vocabulary),
+        "doc_id long, n_tokens long, ids binary, text string",
     )
+
+
+def _texts(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    return docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
+
+
+def _encode(batches: Iterator[pa.RecordBatch], vocabulary: str) -> Iterator[pa.RecordBatch]:
+    memory = _memory(vocabulary)
+    for batch in joined(batches, 1, CUT_TOGETHER):
+        for part in portions(batch, 1, CUT_TOGETHER):
+            ids = memory.encode(part.column(1).fill_null(""))
+            counts = pc.divide(pc.binary_length(ids), 4).cast(pa.int64())
+            yield from portions(
+                pa.RecordBatch.from_arrays([part.column(0), counts, ids], ["doc_id", "n_tokens", "ids"]), 2
+            )
+
+
+def _decode(batches: Iterator[pa.RecordBatch], vocabulary: str) -> Iterator[pa.RecordBatch]:
+    token_bytes = _token_bytes(vocabulary)
+    for batch in batches:
+        texts = []
+        for data in batch.column(2).to_pylist():
+            ids = np.frombuffer(data or b"", "<u4")
+            parts = (ids[i : i + CHUNK] for i in range(0, len(ids), CHUNK))
+            texts.append("".join(decode_stream(parts, token_bytes)))
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns, pa.array(texts, pa.string())], ["doc_id", "n_tokens", "ids", "text"]
+        )

@@ -54,9 +54,9 @@ def op6_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tidemark.llm.bpe_transducer import decoded, encoded
+    from tidemark.llm.bpe_transducer import round_trip
 
-    return decoded(encoded(read(spark, sf_dir, "documents"))).select(
+    return round_trip(read(spark, sf_dir, "documents")).select(
         "doc_id",
         "n_tokens",
         F.sha2("ids", 256).alias("ids_sha256"),

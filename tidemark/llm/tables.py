@@ -43,12 +43,12 @@ def content_of(text: Column) -> Column:
     return F.coalesce(F.unhex(F.sha2(text, 256)), F.lit(b""))
 
 
-def portions(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch with a bounded length of the texts in a column, or one row."""
+def portions(batch: pa.RecordBatch, column: int, most: int = TOGETHER) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with up to ``most`` bytes of the texts in a column, or one row."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
     start, held = 0, 0
     for row, size in enumerate(sizes):
-        if held and held + size > TOGETHER:
+        if held and held + size > most:
             yield batch.slice(start, row - start)
             start, held = row, 0
         held += size
@@ -56,6 +56,21 @@ def portions(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
         yield batch.slice(start)
 
 
+def joined(batches: Iterator[pa.RecordBatch], column: int, most: int) -> Iterator[pa.RecordBatch]:
+    """The rows in fewer batches, which hold up to ``most`` bytes of the texts in a column, or one batch."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        own = pc.sum(pc.binary_length(batch.column(column))).as_py() or 0
+        if held and size + own > most:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+        held.append(batch)
+        size += own
+    if held:
+        yield pa.concat_batches(held)
+
+
 def whole_groups(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[pa.Table]:
     """Cut batches of rows sorted by ``keys`` so that no group is spread over two of the tables.
 

@@ -12,26 +12,28 @@ at the end because streams of object stores can only be appended to.
 
 from __future__ import annotations
 
+import math
 import struct
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import groupby
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import NativeFile
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.files import new_file, open_file
 from tidemark.llm.pieces import PieceMemory, pack_ids
-from tidemark.llm.ranges import id_bounds, range_of
-from tidemark.llm.tables import given_id, known_id, portions, stored
+from tidemark.llm.tables import given_id, joined, known_id, portions, stored
 from tidemark.session import shared_folder
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 0
+#: Bytes of texts that are cut together: the more, the fewer distinct units for each.
+CUT_TOGETHER = 8_000_000
 BLOCK = 4096
 MAGIC = b"TMTOKENS"
 #: magic, bits of an id, ids per block, documents, ids, bytes of the tables
@@ -54,6 +56,8 @@ def pack(ids: np.ndarray, bits: int) -> bytes:
 
 def unpack(data: bytes, count: int, bits: int) -> np.ndarray:
     """The first ``count`` ids of packed bytes."""
+    if bits in (8, 16, 32):
+        return np.frombuffer(data, f"<u{bits // 8}", count).astype(np.uint32)
     place = np.arange(count, dtype=np.int64) * bits
     padded = np.frombuffer(data + bytes(8), np.uint8)
     byte, shift = place >> 3, (place & 7).astype(np.uint64)
@@ -150,25 +154,31 @@ class TextEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.size = self.tokenizer.get_vocab_size()
-        self.batch = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
         self.memory = PieceMemory(self._encode)
 
-    def _encode(self, texts: list[str]) -> Iterator[bytes]:
-        for start in range(0, len(texts), 10_000):
-            for found in self.batch(texts[start : start + 10_000], add_special_tokens=False):
-                yield pack_ids(found.ids)
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        whole = [n for n, text in enumerate(texts) if any(token in text for token in self.added)]
-        if not whole:
+    def _encode(self, pieces: list[str]) -> Iterator[bytes]:
+        for start in range(0, len(pieces), 10_000):
+            some = pieces[start : start + 10_000]
+            found = self.tokenizer.encode(some, is_pretokenized=True, add_special_tokens=False)
+            counts = np.bincount(np.array(found.word_ids, np.int64), minlength=len(some))
+            data, begin = np.array(found.ids, "<u4").tobytes(), 0
+            for end in (4 * np.cumsum(counts)).tolist():
+                yield data[begin:end]
+                begin = end
+
+    def encode(self, texts: pa.Array) -> pa.Array:
+        """Id bytes of each text of an array of strings without nulls."""
+        whole = np.zeros(len(texts), bool)
+        for token in self.added:
+            whole |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
+        if not whole.any():
             return self.memory.encode(texts)
-        apart = set(whole)
-        rest = [n for n in range(len(texts)) if n not in apart]
-        ids: dict[int, bytes] = dict(zip(rest, self.memory.encode([texts[n] for n in rest]), strict=True))
-        for n in whole:  # one at a time: they may be long
-            ids.update(zip([n], self._encode([texts[n]]), strict=True))
-        return [ids[n] for n in range(len(texts))]
+        ids = np.empty(len(texts), object)
+        ids[~whole] = self.memory.encode(texts.filter(pa.array(~whole))).to_pylist()
+        for n in np.flatnonzero(whole).tolist():  # one at a time: they may be long
+            ids[n] = pack_ids(self.tokenizer.encode(texts[n].as_py(), add_special_tokens=False).ids)
+        return pa.array(ids, pa.binary())
 
 
 @lru_cache(maxsize=1)
@@ -187,51 +197,39 @@ def write_token_files(
     """Write the ids of all documents, each followed by ``end_id``; returns one row per file.
 
     ``part`` (ascending with the ids inside), ``path``, ``documents``, ``ids``. Equal ids are ordered
-    by their tokens. The string of an added token, such as ``<|endoftext|>``, has that token's id, as
-    in the library. A null text counts as empty, a missing id as the smallest; repeated rows stay.
-    ``vocabulary`` is a file that every executor can open.
+    by a hash of their texts, and may be spread over files. The string of an added token, such as ``<|endoftext|>``, has that
+    token's id, as in the library. A null text counts as empty, a missing id as the smallest; repeated
+    rows stay. There are about as many files as a file has documents: the square root of their
+    number. ``vocabulary`` is a file that every executor can open.
     """
     folder = shared_folder(docs.sparkSession, "token-files")
     rows = docs.select(known_id(id_column).alias("doc_id"), F.col(text_column).cast("string").alias("text"))
-    bounds = id_bounds(rows.select("doc_id"), "doc_id")
-
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(vocabulary)
-        bits = bits_for(max(encoder.size, end_id + 1))
-        end = np.array([end_id], np.uint32)
-        for batch in batches:
-            for part in portions(batch, 2):
-                ids = encoder.encode([text or "" for text in part.column(2).to_pylist()])
-                packed = [pack(np.concatenate([np.frombuffer(x, "<u4"), end]), bits) for x in ids]
-                counts = pa.array([len(x) // 4 + 1 for x in ids], pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), counts, pa.array(packed, pa.binary()),
-                     pa.array(np.full(part.num_rows, bits, np.int32))],
-                    ["part", "doc_id", "n_tokens", "packed", "bits"],
-                )
+    files = max(1, math.isqrt(rows.count()))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def documents() -> Iterator[tuple]:
-            for batch in batches:
-                yield from zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True)
-
-        for number, rows_of_part in groupby(documents(), key=lambda row: row[0]):
-            writer = None
-            for _, doc_id, count, packed, bits in rows_of_part:
+        encoder, writer = _encoder(vocabulary), None
+        end = np.array([end_id], "<u4")
+        for batch in joined(batches, 2, CUT_TOGETHER):
+            for some in portions(batch, 2, CUT_TOGETHER):
                 if writer is None:
+                    number = some.column(0)[0].as_py()
                     path, out = new_file(folder, f"part-{number:09d}")
-                    writer = TokenWriter(out, bits)
-                writer.add(doc_id, unpack(packed, count, bits))
+                    writer = TokenWriter(out, bits_for(max(encoder.size, end_id + 1)))
+                ids = encoder.encode(some.column(2).fill_null(""))
+                for doc_id, data in zip(some.column(1).to_pylist(), ids, strict=True):
+                    writer.add(doc_id, np.concatenate([np.frombuffer(data.as_buffer(), "<u4"), end]))
+        if writer is not None:
             writer.close()
             yield pa.RecordBatch.from_pydict(
                 {"part": [number], "path": [path], "documents": [len(writer.doc_ids)], "ids": [writer.starts[-1]]}
             )
 
-    encoded = rows.select(range_of(F.col("doc_id"), bounds).alias("part"), "doc_id", "text").mapInArrow(
-        encode, "part int, doc_id long, n_tokens long, packed binary, bits int"
-    )
-    ordered = encoded.repartition("part").sortWithinPartitions("part", "doc_id", "packed")
-    return stored(ordered.mapInArrow(write, "part long, path string, documents long, ids long"), "token-manifest")
+    # Rows that share an id, or even their text, may be many: the row's number lets them be spread, too.
+    keyed = rows.withColumn("content", F.xxhash64("text")).withColumn("row", F.monotonically_increasing_id())
+    order = ("doc_id", "content", "row")
+    ordered = keyed.repartitionByRange(files, *order).sortWithinPartitions(*order)
+    numbered = ordered.select(F.spark_partition_id().alias("part"), "doc_id", "text")
+    return stored(numbered.mapInArrow(write, "part long, path string, documents long, ids long"), "token-manifest")
 
 
 def read_token_files(files: DataFrame) -> DataFrame:
