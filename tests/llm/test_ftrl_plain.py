@@ -3,6 +3,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -31,6 +32,7 @@ def plain(examples, rounds):
                 rate = (math.sqrt(before + g * g) - math.sqrt(before)) / tox.ALPHA
                 z[i] = z.get(i, 0.0) + g - rate * w[i]
                 n[i] = before + g * g
+        z, n = ({i: float(np.float32(x)) for i, x in state.items()} for state in (z, n))  # as they are sent
     return {i: weight(i) for i in z if weight(i)}
 
 

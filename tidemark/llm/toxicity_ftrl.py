@@ -31,6 +31,8 @@ ALPHA, BETA, L1, L2 = 2.0, 1.0, 1.5, 0.1
 HELD_OUT, HELD_OUT_REMAINDER = 4, 2
 ACCEPT = 0.3
 
+#: Shards send their states in single precision.
+_SENT = np.dtype("<f4")
 _WORD = re.compile(r"\w+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -73,6 +75,13 @@ class Ftrl:
         self.n[at] = n + gradient * gradient
 
 
+def _mean(states: pa.ChunkedArray) -> np.ndarray:
+    total = np.zeros(1 << BITS)
+    for state in states:
+        total += np.frombuffer(state.as_buffer(), _SENT)
+    return total / len(states)
+
+
 def fit(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Coordinates and weights that are not zero, of a bounded sample (``shard``, ``turn``, ``y``, ``text``).
 
@@ -93,7 +102,7 @@ def fit(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
                     shards[shard].learn(coordinates(text), label)
             for shard, ftrl in shards.items():
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([shard], pa.int32()), *(pa.array([a.tobytes()], pa.binary()) for a in (ftrl.z, ftrl.n))],
+                    [pa.array([shard], pa.int32()), *(pa.array([a.astype(_SENT).tobytes()], pa.binary()) for a in (ftrl.z, ftrl.n))],
                     ["shard", "z", "n"],
                 )
 
@@ -101,9 +110,9 @@ def fit(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         ordered = texts.repartitionById(SHARDS, F.col("shard")).sortWithinPartitions("shard", "turn", "text")
         learned = ordered.select("shard", "y", "text").mapInArrow(learn, "shard int, z binary, n binary")
         # A row per shard with the state of all coordinates: a fixed size, whatever the texts are.
-        found = sorted(learned.collect(), key=lambda r: r["shard"])
-        if found:
-            state = Ftrl(*(np.mean([np.frombuffer(r[name]) for r in found], axis=0) for name in ("z", "n")))
+        found = learned.toArrow().sort_by("shard")
+        if found.num_rows:
+            state = Ftrl(*(_mean(found.column(name)) for name in ("z", "n")))
         start.unpersist()
     weights = state.weights(np.arange(1 << BITS))
     places = np.flatnonzero(weights)
