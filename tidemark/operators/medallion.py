@@ -22,19 +22,20 @@ def with_event_time(df: DataFrame) -> DataFrame:
     return df.withColumn("event_time", event_time_of(F.col(EPOCH)))
 
 
-def _is_valid() -> Column:
+def is_valid() -> Column:
+    """Whether an event has an identifier and an event time."""
     # The epoch is present and the event time derived from it is not NULL exactly when the epoch is
     # in range. The test of the stored column reaches the Parquet scan as a pushed filter.
     return F.col("transaction_id").isNotNull() & in_epoch_range(F.col(EPOCH))
 
 
 def valid(df: DataFrame) -> DataFrame:
-    return df.where(_is_valid())
+    return df.where(is_valid())
 
 
 def invalid(df: DataFrame) -> DataFrame:
     """Exactly the rows :func:`valid` leaves out."""
-    return df.where(~F.coalesce(_is_valid(), F.lit(False)))
+    return df.where(~F.coalesce(is_valid(), F.lit(False)))
 
 
 def with_reject_reason(df: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ a fixed instant, so that results repeat. The counterpart of each in plain SQL is
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime
 
@@ -34,9 +35,10 @@ from tidemark.functions import (
 )
 from tidemark.functions.partition_hours import cutoff_hour_key
 from tidemark.operators import medallion as m
-from tidemark.operators.compact import compact_partitions
+from tidemark.operators.compact import compact_layer, compact_partitions, file_sizes
 from tidemark.operators.gold import fraud_alerts, hourly_liquidity
 from tidemark.operators.merge import merge_incremental
+from tidemark.operators.layout import order_violations, read_places
 from tidemark.operators.quality import (
     check_accepted,
     check_alert_rule,
@@ -50,8 +52,29 @@ from tidemark.plans.gold_build import GoldModel, build_gold
 from tidemark.plans.medallion_batch import build_silver
 from tidemark.session import shared_folder, use_utc
 from tidemark.sources.events_view import read_events, stream_events, transactions_from_events
-from tidemark.sources.tables import count_rows, read_silver, read_table, table_root, write_silver
-from tidemark.streaming.medallion import await_all, start_bronze, start_medallion, start_silver
+from tidemark.sources.layers import compacted_root, read_layered
+from tidemark.sources.tables import (
+    add_partitions,
+    count_rows,
+    create_tables,
+    drop_tables,
+    read_hours,
+    read_silver,
+    read_table,
+    table_root,
+    write_rejected,
+    write_silver,
+    write_table,
+)
+from tidemark.sources.transactions import read_transactions_stream
+from tidemark.streaming.medallion import (
+    await_all,
+    forget_last_commit,
+    open_windows,
+    start_bronze,
+    start_medallion,
+    start_silver,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -89,15 +112,26 @@ def silver(spark: SparkSession, sf_dir: str, minutes: int = 1) -> DataFrame:
     return m.to_silver(m.valid(timed(spark, sf_dir)), SALT, minutes)
 
 
-_stored: dict[tuple[str, str], str] = {}
+_stored: dict[tuple[str, ...], str] = {}
 
 
-def stored_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Silver as a table, built once per application: what Gold reads in production."""
+def _silver_root(spark: SparkSession, sf_dir: str) -> str:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _stored:
         _stored[key] = build_silver(raw(spark, sf_dir), shared_folder(spark, "warehouse"), SALT)
-    return read_silver(spark, _stored[key])
+    return _stored[key]
+
+
+def stored_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver as a table, built once per application: what Gold reads in production."""
+    return read_silver(spark, _silver_root(spark, sf_dir))
+
+
+def silver_hours(
+    spark: SparkSession, sf_dir: str, start_key: int | None = None, end_key: int | None = None
+) -> DataFrame:
+    """Some hours of the stored Silver; the folders of others are not listed."""
+    return read_hours(spark, _silver_root(spark, sf_dir), SILVER, start_key, end_key)
 
 
 # --- sources, contract, event time ---------------------------------------------------------------
@@ -179,12 +213,12 @@ def gold_hourly_liquidity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def gold_alerts_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fraud_alerts(silver(spark, sf_dir), **BACKFILL)
+    return fraud_alerts(silver_hours(spark, sf_dir, **BACKFILL), **BACKFILL)
 
 
 @_query
 def gold_liquidity_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return hourly_liquidity(silver(spark, sf_dir), **BACKFILL)
+    return hourly_liquidity(silver_hours(spark, sf_dir, **BACKFILL), **BACKFILL)
 
 
 @_query
@@ -345,15 +379,17 @@ def dq_silver_outside_alert_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streaming -----------------------------------------------------------------------------------
 
 
-def _stream(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, PipelineConfig]:
-    config = PipelineConfig(
+def _stream_config(spark: SparkSession) -> PipelineConfig:
+    return PipelineConfig(
         warehouse=shared_folder(spark, "warehouse"),
         checkpoint_dir=shared_folder(spark, "stream"),
         pii_hash_salt=SALT,
         watermark_lateness_seconds=LATENESS_SECONDS,
-        parallelism=int(spark.conf.get("spark.sql.shuffle.partitions")),
     )
-    return transactions_from_events(stream_events(spark, sf_dir)), config
+
+
+def _stream(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, PipelineConfig]:
+    return transactions_from_events(stream_events(spark, sf_dir)), _stream_config(spark)
 
 
 def _streamed_silver(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, PipelineConfig]:
@@ -402,21 +438,163 @@ def stream_to_gold_liquidity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, root, LIQUIDITY)
 
 
+#: Seconds by which some events of a staged stream come late: beyond the watermark's lateness.
+DELAY_SECONDS = 172_800
+#: Files of a staged stream, in the order they arrive; each is a micro-batch.
+STAGED_FILES = 6
+#: Last digits of the event ids that come late.
+LATE_DIGITS = (4, 6, 7)
+
+
+def staged_events(spark: SparkSession, sf_dir: str, delay_seconds: int = 0) -> str:
+    """The raw events as files that arrive one after the other, each event at its time or, if it is one of the late, later.
+
+    The files cut the time of arrival into equal parts; rows without a valid time come with the first one.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, f"staged-{delay_seconds}")
+    if key not in _stored:
+        events = raw(spark, sf_dir)
+        digit = F.substring("transaction_id", -1, 1).cast("int")
+        delay = F.when(digit.isin(*LATE_DIGITS), delay_seconds * 1_000_000).otherwise(0)
+        arrival = F.when(m.is_valid(), F.col(m.EPOCH) + delay)
+        span = events.agg(F.min(arrival).alias("first"), F.max(arrival).alias("last")).first()
+        part = F.call_function("div", (arrival - span["first"]) * STAGED_FILES, F.lit(span["last"] - span["first"] + 1))
+        arrived = events.withColumn("part", F.coalesce(part, F.lit(0).cast("long")).cast("int"))
+        _stored[key] = shared_folder(spark, "staged")
+        arrived.repartitionById(STAGED_FILES, "part").write.partitionBy("part").parquet(_stored[key])
+    return _stored[key]
+
+
+class _Staged:
+    """The staged files, let into a stream's source folder one at a time."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, delay_seconds: int = 0):
+        self.spark, self.folder = spark, staged_events(spark, sf_dir, delay_seconds)
+        self.source, self.config = shared_folder(spark, "arrived"), _stream_config(spark)
+        self.files = 0
+
+    def arrive(self, files: int = 1) -> DataFrame:
+        for _ in range(files):
+            rows = self.spark.read.schema(CONTRACT).parquet(f"{self.folder}/part={self.files}")
+            rows.coalesce(1).write.mode("append").parquet(self.source)
+            self.files += 1
+        return read_transactions_stream(self.spark, self.source, max_files=1)
+
+
+@_query
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that came after their window was closed: in Bronze, but in no window of Silver.
+
+    Several files make as many micro-batches, so the watermark moves while the streams run.
+    """
+    staged = _Staged(spark, sf_dir, DELAY_SECONDS)
+    for _ in range(STAGED_FILES):
+        start_medallion(staged.arrive(), staged.config, wait=True, available_now=True)
+    bronze = read_layered(spark, staged.config.warehouse, BRONZE)
+    windows = read_layered(spark, staged.config.warehouse, SILVER).select("transaction_id", "dedup_window_start")
+    start = F.date_trunc("minute", F.col("event_time")).cast("timestamp_ntz")
+    rows = bronze.select("transaction_id", start.alias("dedup_window_start"), "event_time")
+    return rows.join(windows, ["transaction_id", "dedup_window_start"], "left_anti")
+
+
+@_query
+def stream_restarted_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A Silver stream that is stopped between files, resumed twice, and made to repeat its last batch."""
+    staged = _Staged(spark, sf_dir)
+    for files in (2, 1, STAGED_FILES - 3):
+        await_all([start_silver(staged.arrive(files), staged.config, available_now=True)])
+    forget_last_commit(spark, staged.config, "silver")
+    await_all([start_silver(staged.arrive(0), staged.config, available_now=True)])
+    return read_layered(spark, staged.config.warehouse, SILVER)
+
+
+@_query
+def stream_open_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows that a stream still holds after its last batch, read from the state in its checkpoint."""
+    staged = _Staged(spark, sf_dir, DELAY_SECONDS)
+    for _ in range(STAGED_FILES):
+        await_all([start_silver(staged.arrive(), staged.config, available_now=True)])
+    return open_windows(spark, staged.config)
+
+
 # --- upkeep --------------------------------------------------------------------------------------
 
 
+def _two_loads(spark: SparkSession, sf_dir: str) -> str:
+    """A warehouse whose Silver has two loads, with the rows of every hour split between them."""
+    warehouse = shared_folder(spark, "warehouse")
+    rows = stored_silver(spark, sf_dir)
+    for number in range(2):
+        write_silver(rows.where(F.crc32("transaction_id") % 2 == number), table_root(warehouse, SILVER), f"batch-{number}")
+    return warehouse
+
+
+@_query
+def compact_files_per_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of each hour after the closed hours of a fragmented Silver table have been taken into the layer."""
+    warehouse = _two_loads(spark, sf_dir)
+    compact_layer(spark, warehouse, SILVER, end_key=FIRST_BUILD_END)
+    files = file_sizes(spark, compacted_root(warehouse, SILVER))
+    return files.groupBy(partition_hour_key().alias("hour_key")).agg(F.count(F.lit(1)).alias("files"))
+
+
+@_query
+def layered_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver read from its compacted layer and the live loads, after a load that came later than the compaction."""
+    warehouse = shared_folder(spark, "warehouse")
+    rows, root = stored_silver(spark, sf_dir), table_root(warehouse, SILVER)
+    for number in range(2):
+        write_silver(rows.where(F.crc32("transaction_id") % 3 == number), root, f"batch-{number}")
+    compact_layer(spark, warehouse, SILVER, end_key=FIRST_BUILD_END)
+    write_silver(rows.where(F.crc32("transaction_id") % 3 == 2), root, "batch-2")
+    return read_layered(spark, warehouse, SILVER)
+
+
+@_query
+def written_order_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Neighbouring rows of a file that are not in the table's order: in Silver as written, and in a shuffled copy."""
+    written = _silver_root(spark, sf_dir)
+    copy = f"{shared_folder(spark, 'warehouse')}/copy"
+    # One file whose rows are in the order of their identifiers.
+    stored_silver(spark, sf_dir).repartition(1).sortWithinPartitions("transaction_id", "event_time").write.parquet(copy)
+    tables = {"as_written": written, "by_id": copy}
+    found = [
+        order_violations(read_places(spark, root, SILVER), SILVER)
+        .agg(F.count(F.lit(1)).alias("violations"))
+        .select(F.lit(name).alias("layout"), "violations")
+        for name, root in tables.items()
+    ]
+    return found[0].unionByName(found[1])
+
+
+@_query
+def catalog_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per table by SQL on the names that the tables have in the catalog, after partitions came in two steps."""
+    warehouse, prefix = shared_folder(spark, "warehouse"), f"counted_{uuid.uuid4().hex}_"
+    rows, root = stored_silver(spark, sf_dir), table_root(warehouse, SILVER)
+    write_silver(rows.where(F.crc32("transaction_id") % 2 == 0), root, "batch-0")
+    write_table(hourly_liquidity(rows), table_root(warehouse, LIQUIDITY), LIQUIDITY)
+    create_tables(spark, warehouse, prefix)
+    try:
+        add_partitions(spark, warehouse, prefix=prefix)
+        write_silver(rows.where(F.crc32("transaction_id") % 2 == 1), root, "batch-1")
+        write_rejected(m.to_rejected(m.invalid(timed(spark, sf_dir))), table_root(warehouse, REJECTED), "batch-0")
+        add_partitions(spark, warehouse, prefix=prefix)
+        tables = (SILVER, REJECTED, LIQUIDITY)
+        counts = " UNION ALL ".join(
+            f"SELECT '{t.name}' AS table_name, count(*) AS row_count FROM {prefix}{t.name}" for t in tables
+        )
+        return spark.createDataFrame(spark.sql(counts).collect(), "table_name string, row_count long")  # a row per table
+    finally:
+        drop_tables(spark, prefix)
+
+
 @_query
 def compact_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Closed hours of a fragmented Silver table, compacted into another root."""
-    rows = stored_silver(spark, sf_dir)
-    warehouse = shared_folder(spark, "warehouse")
-    root = table_root(warehouse, SILVER)
-    # Two loads with the rows of every hour split between them.
-    halves = (F.crc32("transaction_id") % 2 == 0, F.crc32("transaction_id") % 2 == 1)
-    for number, half in enumerate(halves):
-        write_silver(rows.where(half), root, f"batch-{number}")
+    warehouse = _two_loads(spark, sf_dir)
     compacted = f"{warehouse}/compacted/{SILVER.path}"
-    compact_partitions(spark, root, compacted, SILVER, end_key=FIRST_BUILD_END)
+    compact_partitions(spark, table_root(warehouse, SILVER), compacted, SILVER, end_key=FIRST_BUILD_END)
     return read_table(spark, compacted, SILVER)
 
 

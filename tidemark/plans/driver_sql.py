@@ -5,10 +5,13 @@ from __future__ import annotations
 from tidemark.plans.driver_queries import (
     BACKFILL,
     COMPARED_KEY,
+    DELAY_SECONDS,
     FIRST_BUILD_END,
+    LATE_DIGITS,
     LATENESS_SECONDS,
     LOOKBACK_HOURS,
     SALT,
+    STAGED_FILES,
 )
 
 CUTOFF = 2024012900  # 48 hours before 2024-01-31 00:00
@@ -90,6 +93,32 @@ silver AS (
 
 BASE = f"WITH {RAW},{_silver()}"
 
+# Which file an event arrives in, and the watermark's rule: after each file it stands at the latest event time so far,
+# less the lateness, and an event whose window had ended by then is late in the next file.
+STAGED = f"""
+arrivals AS (
+    SELECT *, event_time_epoch_us + CASE WHEN right(transaction_id, 1)::INT IN {LATE_DIGITS}
+        THEN {DELAY_SECONDS * 1_000_000} ELSE 0 END AS arrival,
+        time_bucket(INTERVAL '1 minute', event_time) AS dedup_window_start
+    FROM valid
+),
+span AS (SELECT min(arrival) AS first_us, max(arrival) AS last_us FROM arrivals),
+arrived AS (
+    SELECT transaction_id, event_time, dedup_window_start, dedup_window_start + INTERVAL '1 minute' AS window_end,
+        (arrival - first_us) * {STAGED_FILES} // (last_us - first_us + 1) AS file
+    FROM arrivals, span
+),
+marks AS (
+    SELECT file, max(max(event_time)) OVER (ORDER BY file) - INTERVAL '{LATENESS_SECONDS} seconds' AS watermark
+    FROM arrived GROUP BY file
+),
+taken AS (
+    SELECT DISTINCT transaction_id, dedup_window_start, window_end
+    FROM arrived ASOF LEFT JOIN marks ON arrived.file > marks.file
+    WHERE marks.watermark IS NULL OR window_end > marks.watermark
+),
+finally AS (SELECT max(watermark) AS watermark FROM marks)"""
+
 
 def _alerts(source: str = "silver", where: str = "TRUE") -> str:
     return f"""
@@ -311,6 +340,29 @@ SQL: dict[str, str] = {
         }
     ),
     "stream_to_gold_liquidity": BASE + _liquidity(where=CLOSED),
+    "stream_late_rows": f"""WITH {RAW},{STAGED}
+        SELECT transaction_id, dedup_window_start, event_time FROM arrived
+        WHERE (transaction_id, dedup_window_start) NOT IN (
+            SELECT (transaction_id, dedup_window_start) FROM taken, finally WHERE window_end <= watermark)""",
+    "stream_restarted_silver": f"{BASE} SELECT * FROM silver WHERE {CLOSED}",
+    "stream_open_windows": f"""WITH {RAW},{STAGED}
+        SELECT transaction_id, dedup_window_start FROM taken, finally WHERE window_end > watermark""",
+    "compact_files_per_hour": f"""{BASE}
+        SELECT DISTINCT {HOUR_KEY} AS hour_key, 1::BIGINT AS files FROM silver WHERE {HOUR_KEY} <= {FIRST_BUILD_END}""",
+    "layered_silver": f"{BASE} SELECT * FROM silver",
+    "written_order_violations": f"""{BASE}, told AS (
+            SELECT (event_time, transaction_id) AS own,
+                lag((event_time, transaction_id)) OVER (ORDER BY transaction_id, event_time) AS earlier FROM silver)
+        SELECT 'as_written' AS layout, 0::BIGINT AS violations
+        UNION ALL SELECT 'by_id', count(*) FROM told WHERE earlier > own""",
+    "catalog_row_counts": BASE
+    + _counts(
+        {
+            "silver.transactions": "FROM silver",
+            "bronze.transactions_rejected": "FROM rejected",
+            "gold.gold_hourly_liquidity": _liquidity(),
+        }
+    ),
     "compact_silver": f"{BASE} SELECT * FROM silver WHERE {HOUR_KEY} <= {FIRST_BUILD_END}",
     "compact_gold": BASE + _liquidity(),
 }

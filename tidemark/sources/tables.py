@@ -157,14 +157,14 @@ def count_rows(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
-def create_tables(spark: SparkSession, warehouse: str) -> None:
-    """Create the namespaces and register every table in the session catalog, as far as missing.
+def create_tables(spark: SparkSession, warehouse: str, prefix: str = "") -> None:
+    """Create the namespaces, with a prefix, and register every table in the session catalog, as far as missing.
 
     Streamed tables list ``load`` as their last partition column. Run :func:`add_partitions`
     after new data has landed to make it visible to SQL.
     """
     for namespace in dict.fromkeys(name.split(".")[0] for name in TABLES):
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {namespace}")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {prefix}{namespace}")
     for spec in TABLES.values():
         partitions = _catalog_partitions(spec)
         fields = [f for f in spec.schema if f.name not in partitions]
@@ -175,7 +175,7 @@ def create_tables(spark: SparkSession, warehouse: str) -> None:
         clustering = f"PARTITIONED BY ({', '.join(partitions)})" if partitions else ""
         location = table_root(warehouse, spec).replace("'", "\\'")
         spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {spec.name} ({columns}) USING parquet "
+            f"CREATE TABLE IF NOT EXISTS {prefix}{spec.name} ({columns}) USING parquet "
             f"OPTIONS (compression 'zstd') {clustering} LOCATION '{location}'"
         )
 
@@ -188,7 +188,15 @@ def _catalog_partitions(spec: TableSpec) -> list[str]:
 ADDED_TOGETHER = 500
 
 
-def add_partitions(spark: SparkSession, warehouse: str, start_key: int | None = None, end_key: int | None = None) -> int:
+def drop_tables(spark: SparkSession, prefix: str) -> None:
+    """Take the tables out of the catalog again; their files stay."""
+    for namespace in dict.fromkeys(name.split(".")[0] for name in TABLES):
+        spark.sql(f"DROP DATABASE IF EXISTS {prefix}{namespace} CASCADE")
+
+
+def add_partitions(
+    spark: SparkSession, warehouse: str, start_key: int | None = None, end_key: int | None = None, prefix: str = ""
+) -> int:
     """Make partitions visible to SQL that the catalog does not know yet; returns their number.
 
     With bounds, only the folders of those hours are listed and only their partitions compared.
@@ -203,12 +211,12 @@ def add_partitions(spark: SparkSession, warehouse: str, start_key: int | None =
         if spec.streamed:
             loads = ((f, n) for f in found for n in folders.names(f) if n.startswith(f"{LOAD}="))
             found = [f"{folder}/{name}" if folder else name for folder, name in loads]
-        listed = spark.sql(f"SHOW PARTITIONS {spec.name}")
+        listed = spark.sql(f"SHOW PARTITIONS {prefix}{spec.name}")
         wanted = spark.createDataFrame([(f,) for f in found], "partition string")
         new = [r["partition"] for r in wanted.join(listed, "partition", "left_anti").sort("partition").collect()]
         for first in range(0, len(new), ADDED_TOGETHER):
             clauses = [_partition_clause(name) for name in new[first : first + ADDED_TOGETHER]]
-            spark.sql(f"ALTER TABLE {spec.name} ADD IF NOT EXISTS {' '.join(clauses)}")
+            spark.sql(f"ALTER TABLE {prefix}{spec.name} ADD IF NOT EXISTS {' '.join(clauses)}")
         added += len(new)
     return added
 

@@ -11,13 +11,15 @@ from __future__ import annotations
 import threading
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.config import PipelineConfig
 from tidemark.contract import BRONZE, REJECTED, SILVER
 from tidemark.operators.medallion import invalid, to_bronze, to_rejected, to_silver, valid, with_event_time
 from tidemark.session import settings, use_utc
+from tidemark.sources.folders import Folders
 from tidemark.sources.tables import table_root, write_bronze, write_rejected, write_silver
 
 START_TIMEOUT_SECONDS = 60
@@ -49,7 +51,7 @@ def _start(
     writer = (
         rows.writeStream.outputMode("append")
         .queryName(name)
-        .option("checkpointLocation", f"{config.checkpoint_dir.rstrip('/')}/{name}")
+        .option("checkpointLocation", _checkpoint(config, name))
         .foreachBatch(on_batch)
     )
     if available_now:
@@ -125,3 +127,30 @@ def state_rows(query: StreamingQuery) -> int:
     """Rows of window state after the last micro-batch, to be watched against unbounded growth."""
     progress = query.lastProgress
     return sum(op["numRowsTotal"] for op in progress["stateOperators"]) if progress else 0
+
+
+def open_windows(spark: SparkSession, config: PipelineConfig) -> DataFrame:
+    """``transaction_id``, ``dedup_window_start``: windows the Silver query held after its last finished batch.
+
+    Read from the state in its checkpoint, in as many tasks as the state has partitions; the query need not run.
+    """
+    state = spark.read.format("statestore").load(_checkpoint(config, "silver"))
+    return state.select(
+        F.col("key.transaction_id").alias("transaction_id"),
+        F.col("key.window.start").cast("timestamp_ntz").alias("dedup_window_start"),
+    )
+
+
+def forget_last_commit(spark: SparkSession, config: PipelineConfig, name: str) -> int:
+    """Leave a stopped query's checkpoint as a crash would, after a batch was written and before it was committed.
+
+    The next start repeats that batch, whose number is returned.
+    """
+    folders = Folders(spark, _checkpoint(config, name))
+    last = max(int(n) for n in folders.names("commits") if n.isdigit())
+    folders.delete(f"commits/{last}")
+    return last
+
+
+def _checkpoint(config: PipelineConfig, name: str) -> str:
+    return f"{config.checkpoint_dir.rstrip('/')}/{name}"
