@@ -6,7 +6,8 @@ from tokenizers import Tokenizer
 from tidemark.llm import token_files as tf
 
 
-def test_token_files_of_one_id(spark):
+def test_token_files_of_one_id(spark, monkeypatch):
+    monkeypatch.setattr(tf, "DOCUMENTS", 30)
     rows = spark.range(900).selectExpr(
         "if(id % 3 = 0, null, if(id % 3 = 1, 7, id)) doc_id", "if(id % 6 = 0, 'the same text', concat('text ', id)) text"
     )

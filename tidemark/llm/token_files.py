@@ -32,6 +32,8 @@ from tidemark.session import shared_folder
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 0
+#: Documents of a file, until their square root is more.
+DOCUMENTS = 4_000
 #: Bytes of texts that are cut together: the more, the fewer distinct units for each.
 CUT_TOGETHER = 8_000_000
 BLOCK = 4096
@@ -199,12 +201,13 @@ def write_token_files(
     ``part`` (ascending with the ids inside), ``path``, ``documents``, ``ids``. Equal ids are ordered
     by a hash of their texts, and may be spread over files. The string of an added token, such as ``<|endoftext|>``, has that
     token's id, as in the library. A null text counts as empty, a missing id as the smallest; repeated
-    rows stay. There are about as many files as a file has documents: the square root of their
-    number. ``vocabulary`` is a file that every executor can open.
+    rows stay. A file has about ``DOCUMENTS`` documents, or as many as there are files, whichever is
+    more. ``vocabulary`` is a file that every executor can open.
     """
     folder = shared_folder(docs.sparkSession, "token-files")
     rows = docs.select(known_id(id_column).alias("doc_id"), F.col(text_column).cast("string").alias("text"))
-    files = max(1, math.isqrt(rows.count()))
+    count = rows.count()
+    files = max(1, min(math.isqrt(count), count // DOCUMENTS))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, writer = _encoder(vocabulary), None
