@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.tables import given_id, known_id, stored
+from tidemark.llm.tables import given_id, known_id, packed, stored
 
 LEVELS = ("domain", "lang", "source")
 BUCKETS = 4096
@@ -194,7 +194,12 @@ def _begun(rows: DataFrame, mixture: Mixture) -> DataFrame:
 
 
 def mixed(docs: DataFrame, mixture: Mixture = DEFAULT) -> DataFrame:
-    """The documents that a mixture uses, whole and once for every use, with the columns of ``docs``."""
+    """The documents that a mixture uses, whole and once for every use, with the columns of ``docs``.
+
+    The last document of a leaf's last epoch is returned whole, so a leaf may go beyond its budget by
+    less than one document. Null texts, names and ids count as in :func:`mix`; repeated rows are separate uses; other
+    columns are kept whatever their names. An empty table gives an empty result.
+    """
     uses = mix(docs, mixture).select(
         F.coalesce("doc_id", F.lit(-(2**63))).alias("_used_id"),
         F.col("n_tokens").alias("_used_tokens"),
@@ -205,13 +210,19 @@ def mixed(docs: DataFrame, mixture: Mixture = DEFAULT) -> DataFrame:
     # Repeated rows have been counted as separate uses; a use takes one of them.
     uses = uses.groupBy("_used_id", "_used_tokens", "_used_lang", "_used_source", "_epoch").agg(F.count(F.lit(1)).alias("_times"))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.withColumn("_own_id", known_id("doc_id")).withColumn("_own_tokens", tokens_of(text))
+    rows = packed(
+        docs,
+        known_id("doc_id").alias("_own_id"),
+        tokens_of(text).alias("_own_tokens"),
+        F.col("lang").cast("string").alias("_own_lang"),
+        F.col("source").cast("string").alias("_own_source"),
+    )
     joined = rows.join(
         uses,
         (F.col("_own_id") == F.col("_used_id"))
         & (F.col("_own_tokens") == F.col("_used_tokens"))
-        & F.col("lang").cast("string").eqNullSafe(F.col("_used_lang"))
-        & F.col("source").cast("string").eqNullSafe(F.col("_used_source")),
+        & F.col("_own_lang").eqNullSafe(F.col("_used_lang"))
+        & F.col("_own_source").eqNullSafe(F.col("_used_source")),
     )
-    number = Window.partitionBy("_own_id", "_own_tokens", "_used_lang", "_used_source", "_epoch").orderBy(F.xxhash64("text"))
-    return joined.withColumn("_number", F.row_number().over(number)).filter("_number <= _times").select(*docs.columns)
+    number = Window.partitionBy("_own_id", "_own_tokens", "_used_lang", "_used_source", "_epoch").orderBy(F.xxhash64("_row.text"))
+    return joined.withColumn("_number", F.row_number().over(number)).filter("_number <= _times").select("_row.*")

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.labelled import means, remainder, sample
-from tidemark.llm.tables import NO_ID, content_of, given_id, known_id, stored
+from tidemark.llm.tables import NO_ID, content_of, given_id, known_id, packed, stored
 
 #: Labelled documents used at most, to fit and to calibrate.
 FIT_ROWS = 100_000
@@ -147,9 +147,14 @@ def _summed(rows: DataFrame, each) -> np.ndarray | None:
     return sum(parts[1:], parts[0].copy()) if parts else None
 
 
+def _one_text(features: DataFrame) -> DataFrame:
+    """Of rows that share an id the one whose text has the smallest hash: a label tells nothing of the others."""
+    return features.groupBy("doc_id").agg(F.min_by("x", "content").alias("x"))
+
+
 def fit(features: DataFrame, labels: DataFrame) -> QualityModel:
     """A model of the labels (``doc_id``, ``y``) of documents whose statistics are in ``features``."""
-    joined = sample(labels, FIT_ROWS).join(features.dropDuplicates(["doc_id"]), "doc_id")
+    joined = sample(labels, FIT_ROWS).join(_one_text(features), "doc_id")
     dealt = joined.withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(CALIBRATE)))
     rows = stored(dealt.select("doc_id", "x", "y", "fold").repartition(FIT_TASKS, "doc_id"), "quality-sample")
     learn = rows.filter("fold > 0")
@@ -211,10 +216,14 @@ def _scored(docs: DataFrame, labels: DataFrame, held_out: int = HELD_OUT) -> Dat
 
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that the classifier does not reject, each judged by its own text."""
+    """The documents that the classifier does not reject, each judged by its own text.
+
+    A null text counts as empty; rows without an id, repeated rows and rows that share an id stay or
+    go by their texts; other columns are kept whatever their names. An empty table gives an empty result.
+    """
     # A score follows from the text alone, so a rejected content takes its copies along and nothing else.
     bad = _scored(docs, labels).filter(F.col("score") < ACCEPT).select(F.col("content").alias("_bad_content"))
-    rows = docs.withColumn("_own_content", content_of(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    rows = packed(docs, content_of(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("_own_content"))
     # Written, so that both sides of the join come from a shuffle and a hot content can be split.
     bad = stored(bad.distinct(), "rejected")
-    return rows.join(bad, F.col("_own_content") == F.col("_bad_content"), "left_anti").select(*docs.columns)
+    return rows.join(bad, F.col("_own_content") == F.col("_bad_content"), "left_anti").select("_row.*")

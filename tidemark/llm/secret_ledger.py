@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.tables import given_id, known_id, stored
+from tidemark.llm.tables import given_id, known_id, packed, stored
 from tidemark.session import shared_folder
 
 
@@ -241,15 +241,19 @@ def scan(docs: DataFrame, ledger: str | None = None, rules: tuple[Rule, ...] = R
 
 
 def clean(docs: DataFrame, ledger: str | None = None, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """All documents, with a placeholder for every secret, and ``n_chars`` counted anew where one was found."""
+    """All documents, with a placeholder for every secret, and ``n_chars`` counted anew where one was found.
+
+    A null text stays null; rows without an id, repeated rows and rows that share an id are all kept;
+    other columns are kept whatever their names. An empty table gives an empty result.
+    """
     found = scan(docs, ledger, rules).filter(F.size("found") > 0).select(F.col("blob").alias("_blob")).distinct()
     marked = stored(found, "with-secrets").withColumn("_secret", F.lit(True))
-    rows = docs.withColumn("_blob", blob_of(F.col("text"))).join(marked, "_blob", "left")
-    rows = rows.withColumn("_clean", F.col("text").cast("string"))
+    rows = packed(docs, blob_of(F.col("text")).alias("_blob")).join(marked, "_blob", "left")
+    rows = rows.select("_row", "_secret", F.col("_row.text").cast("string").alias("_clean"))
     # Keys first: the other rules would break up their blocks.
     for rule in sorted(rules, key=lambda r: r.kind != "private_key"):  # a step each: one expression of all would hold the text's many times over
         rows = rows.withColumn("_clean", F.when(F.col("_secret"), redacted(F.col("_clean"), rule)).otherwise(F.col("_clean")))
     columns = {"text": F.col("_clean")}
     if "n_chars" in docs.columns:
-        columns["n_chars"] = F.when(F.col("_secret"), F.length("_clean").cast("long")).otherwise(F.col("n_chars"))
-    return rows.select(*(columns[c].alias(c) if c in columns else F.col(c) for c in docs.columns))
+        columns["n_chars"] = F.when(F.col("_secret"), F.length("_clean").cast("long")).otherwise(F.col("_row.n_chars"))
+    return rows.select(*(columns.get(c, F.col(f"_row.`{c}`")).alias(c) for c in docs.columns))

@@ -30,6 +30,11 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
+def packed(docs: DataFrame, *columns: Column) -> DataFrame:
+    """Whole rows as a struct ``_row``, so that no name of theirs can clash with those of ``columns``."""
+    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), *columns)
+
+
 def known_id(name: str) -> Column:
     return F.coalesce(F.col(name).cast("long"), F.lit(NO_ID))
 
