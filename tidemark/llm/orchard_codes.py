@@ -35,12 +35,14 @@ SCALE = 1024
 #: Scaled components beyond this bound, or below its negative, count as the bound.
 LARGEST = 1 << 50
 #: Queries that are searched together, and neighbours that each looks at in one step.
-TOGETHER = 4096
-STEP = 16
+TOGETHER = 1024
+STEP = 32
 #: Label totals are broadcast up to this number of labels.
 BROADCAST_LABELS = 1_000_000
 _MOST = (1 << 63) - 1
 
+_BEYOND = {"d": np.inf, "l": np.iinfo(np.int64).max, "O": float("inf")}
+
 Codebook = tuple[tuple[tuple[int, ...], ...], ...]
 
 
@@ -63,8 +65,13 @@ class Neighbours:
         self.entries = entries
         apart = entries[:, None, :] - entries[None, :, :]
         gaps = (apart * apart).sum(axis=2)
-        self.order = np.argsort(gaps, axis=1, kind="stable")
-        self.gaps = np.take_along_axis(gaps, self.order, axis=1)
+        order = np.argsort(gaps, axis=1, kind="stable")
+        # Every list ends with a step of gaps that no distance reaches, so that a search stops there.
+        self.width = -(-len(entries) // STEP) * STEP + STEP
+        self.listed = np.zeros((len(entries), self.width), np.int64)
+        self.listed[:, : len(entries)] = order
+        self.apart = np.full((len(entries), self.width), _BEYOND[gaps.dtype.char], gaps.dtype)
+        self.apart[:, : len(entries)] = np.take_along_axis(gaps, order, axis=1)
         self.start = int(np.argmin(gaps.sum(axis=1)))
 
     def search(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -81,29 +88,29 @@ class Neighbours:
         place = np.zeros(count, int)  # in the list of the best entry
         active = np.arange(count)
         while len(active):
-            ahead = place[active][:, None] + np.arange(STEP)
-            inside = ahead < entries
-            ahead = np.minimum(ahead, entries - 1)
-            own = best[active][:, None]
-            listed = self.order[own, ahead]
-            inside &= self.gaps[own, ahead] <= 4 * distance[active][:, None]
-            row, column = np.nonzero(inside & ~visited[active[:, None], listed])
-            query, entry = active[row], listed[row, column]
-            visited[query, entry] = True
-            near = self._squared(queries[query], entry)
+            ahead = best[active] * self.width + place[active]
+            ahead = ahead[:, None] + np.arange(STEP)
+            listed = self.listed.take(ahead)
+            inside = self.apart.take(ahead) <= 4 * distance[active][:, None]
+            fresh = np.flatnonzero((inside & ~visited.take(active[:, None] * entries + listed)).ravel())
+            row, entry = fresh // STEP, listed.ravel()[fresh]
+            query = active[row]
+            visited.ravel()[query * entries + entry] = True
+            near = self._squared(queries.take(query, axis=0), entry)
             # Per query the nearest entry met in this step, the lowest of equally near ones.
-            ranked = np.lexsort((entry, near.astype(np.float64) if near.dtype != object else near, query))
-            query, entry, near = query[ranked], entry[ranked], near[ranked]
-            first = np.ones(len(query), bool)
-            first[1:] = query[1:] != query[:-1]
-            query, entry, near = query[first], entry[first], near[first]
-            better = (near < distance[query]) | ((near == distance[query]) & (entry < best[query]))
+            begins = np.flatnonzero(np.diff(row, prepend=-1))
+            if len(begins):
+                query = query[begins]
+                nearest = np.minimum.reduceat(near, begins)
+                lengths = np.diff(begins, append=len(row))
+                tied = np.where(near == np.repeat(nearest, lengths), entry, entries)
+                entry = np.minimum.reduceat(tied, begins)
+                better = (nearest < distance[query]) | ((nearest == distance[query]) & (entry < best[query]))
             place[active] += STEP
-            moved = query[better]
-            best[moved], distance[moved], place[moved] = entry[better], near[better], 0
-            going = inside.all(axis=1) & (place[active] < entries)
-            going |= place[active] == 0
-            active = active[going]
+            if len(begins):
+                moved = query[better]
+                best[moved], distance[moved], place[moved] = entry[better], nearest[better], 0
+            active = active[inside.all(axis=1) | (place[active] == 0)]
         return best, distance
 
     def _squared(self, queries: np.ndarray, entry: np.ndarray) -> np.ndarray:
