@@ -35,8 +35,8 @@ SCALE = 1024
 #: Scaled components beyond this bound, or below its negative, count as the bound.
 LARGEST = 1 << 50
 #: Queries that are searched together, and neighbours that each looks at in one step.
-TOGETHER = 1024
-STEP = 32
+TOGETHER = 2048
+STEP = 16
 #: Label totals are broadcast up to this number of labels.
 BROADCAST_LABELS = 1_000_000
 _MOST = (1 << 63) - 1
