@@ -9,7 +9,15 @@ from tidemark.contract import BRONZE, REJECTED, SILVER
 from tidemark.operators import medallion as m
 from tidemark.sources.tables import read_table, table_root
 from tidemark.sources.transactions import read_transactions_kafka, read_transactions_stream
-from tidemark.streaming.medallion import await_all, start_bronze, start_medallion, start_silver, state_rows
+from tidemark.streaming.medallion import (
+    await_all,
+    forget_last_commit,
+    open_windows,
+    start_bronze,
+    start_medallion,
+    start_silver,
+    state_rows,
+)
 
 
 class Stream:
@@ -113,6 +121,29 @@ def test_replayed_batch_replaces_its_own_output(stream):
     assert sorted(r.transaction_id for r in stream.table(BRONZE).collect()) == ["a", "b"]
 
 
+def test_state_holds_open_windows_only(spark, stream):
+    """After each batch the state is what the watermark has not closed, however many rows came before."""
+    for hour in range(4):
+        query = stream.step(*[event(f"t{hour}-{i}", at(hour * 3600 + i * 90)) for i in range(20)])
+        held = open_windows(spark, stream.config).collect()
+        assert state_rows(query) == len(held) == 1
+        assert [r.transaction_id for r in held] == [f"t{hour}-19"]
+        assert len(stream.silver()) == 20 * (hour + 1) - 1
+
+
+def test_repeated_last_batch_adds_nothing(spark, stream):
+    stream.step(event("a", at(1)), event("b", at(2)))
+    stream.step(event("z", at(600)))
+    before = stream.silver()
+    assert before == [("a", 34), ("b", 34)]
+    batch = forget_last_commit(spark, stream.config, "silver")
+    query = stream.step()
+    assert query.lastProgress["batchId"] == batch
+    assert stream.silver() == before
+    stream.step(event("y", at(1200)))
+    assert stream.silver() == [*before, ("z", 44)]
+
+
 def test_new_checkpoint_does_not_overwrite_earlier_loads(stream, salt):
     stream.step(event("a", at(1)), start=start_bronze)
     stream.config = PipelineConfig(

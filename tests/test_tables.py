@@ -9,6 +9,7 @@ from tidemark.contract import BRONZE, LIQUIDITY, REJECTED, SILVER, TABLES
 from tidemark.operators import medallion as m
 from tidemark.operators.compact import compact_partitions
 from tidemark.operators.gold import hourly_liquidity, in_hours
+from tidemark.operators.layout import order_violations, read_places
 from tidemark.plans.medallion_batch import build_bronze, build_silver
 from tidemark.sources.tables import (
     add_partitions,
@@ -136,6 +137,17 @@ def test_catalog_tables(spark, raw, salt, tmp_path):
             spark.sql(f"DROP DATABASE IF EXISTS {namespace} CASCADE")
 
 
+def test_order_in_files(spark, salt, tmp_path):
+    rows = m.to_silver(m.valid(m.with_event_time(events(spark, *[event(f"t{i % 7}", at(i * 61 % 3000)) for i in range(300)]))), salt)
+    write_table(rows, f"{tmp_path}/sorted", SILVER)
+    assert order_violations(read_places(spark, f"{tmp_path}/sorted", SILVER), SILVER).count() == 0
+    by_time = rows.select("event_time", "transaction_id").sort(F.desc("event_time"), "transaction_id")
+    by_time.coalesce(1).write.parquet(f"{tmp_path}/backwards")
+    places = read_places(spark, f"{tmp_path}/backwards", SILVER)
+    listed = [tuple(r) for r in places.sort("_place").select("event_time", "transaction_id").collect()]
+    assert order_violations(places, SILVER).count() == sum(a > b for a, b in zip(listed, listed[1:])) > 0
+
+
 def test_sources(spark, raw, tmp_path):
     raw.write.parquet(str(tmp_path / "full"))
     assert multiset(read_transactions(spark, str(tmp_path / "full"))) == multiset(raw)
