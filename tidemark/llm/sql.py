@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tidemark.llm.mixture import DEFAULT, LEVELS, Mixture
+
 #: crc32 of a text of ASCII characters ``{text}``, bit by bit, unsigned.
 _CRC32 = """xor(4294967295, list_reduce(
     list_prepend(4294967295::BIGINT, list_transform(string_split({text}, ''), lambda c: ord(c)::BIGINT)),
@@ -99,7 +101,84 @@ FROM kept JOIN told USING (id), books
 """
 
 
+NEAR_VECTORS = """
+WITH RECURSIVE told AS (
+    SELECT row_number() OVER () AS r, vec_id,
+        CASE WHEN len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+            AND len(list_filter(embedding, lambda x: x <> 0)) > 0 THEN embedding::DOUBLE[] END AS v
+    FROM embeddings),
+unit AS (SELECT r, v, sqrt(list_inner_product(v, v)) AS size FROM told WHERE v IS NOT NULL),
+link AS (
+    SELECT a.r AS a, b.r AS b FROM unit AS a, unit AS b
+    WHERE a.r <> b.r AND list_inner_product(a.v, b.v) / (a.size * b.size) >= 0.9),
+reach AS (SELECT r AS a, r AS b FROM told UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a),
+component AS (SELECT a AS r, min(vec_id) AS component_id FROM reach JOIN told ON told.r = reach.b GROUP BY a)
+SELECT vec_id, (SELECT count(*) FROM link WHERE link.a = told.r) AS n_links, component_id, vec_id = component_id AS kept
+FROM told JOIN component USING (r)
+"""
+
+
+def _mixture(mixture: Mixture = DEFAULT) -> str:
+    def weight(name: str) -> str:
+        cases = " ".join(f"WHEN '{key}' THEN {value}" for key, value in getattr(mixture, name).items())
+        return f"(CASE {name} {cases} ELSE {mixture.other} END)::DOUBLE"
+
+    def filled(depth: int) -> str:
+        path, parent = LEVELS[: depth + 1], LEVELS[:depth]
+        budget = "(SELECT floor(sum(tokens) * {}) FROM leaf)::BIGINT".format(mixture.share) if not depth else "up.given"
+        same = " AND ".join(f"up.{p} IS NOT DISTINCT FROM n.{p}" for p in parent)
+        above = f"JOIN fill{depth - 1} AS up ON {same}" if depth else ""
+        group = f"PARTITION BY {', '.join(parent)}" if parent else ""
+        order = f"{group} ORDER BY full_at, {', '.join(f'{p} NULLS FIRST' for p in path)}"
+        return f"""node{depth} AS (
+    SELECT n.*, {budget} AS budget, CASE WHEN n.weight > 0 THEN n.room / n.weight ELSE 'inf'::DOUBLE END AS full_at
+    FROM (SELECT {', '.join(path)}, sum(room)::BIGINT AS room, {weight(path[-1])} AS weight FROM leaf GROUP BY ALL) AS n
+    {above}),
+level{depth} AS (
+    SELECT *, row_number() OVER ({order}) AS nth, sum(weight) OVER ({order} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest,
+        budget - coalesce(sum(room) OVER ({order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS remaining
+    FROM node{depth}),
+open{depth} AS (
+    SELECT *, CASE WHEN rest > 0 THEN remaining / rest ELSE 0 END AS level FROM level{depth}),
+fill{depth} AS (
+    SELECT *, min(nth) FILTER (level < full_at) OVER ({group}) AS open_nth,
+        arg_min(level, nth) FILTER (level < full_at) OVER ({group}) AS open_level,
+        CASE WHEN open_nth IS NULL OR nth < open_nth THEN room ELSE floor(open_level * weight)::BIGINT END AS given
+    FROM open{depth})"""
+
+    used = " AND ".join(f"{weight(name)} > 0" for name in LEVELS)
+    same = " AND ".join(f"doc.{p} IS NOT DISTINCT FROM plan.{p}" for p in LEVELS)
+    of_leaf = " AND ".join(f"fill2.{p} IS NOT DISTINCT FROM leaf.{p}" for p in LEVELS)
+    return f"""
+WITH doc AS (
+    SELECT doc_id, CASE WHEN regexp_extract(source, '([0-9])$', 1) IN ('0', '2', '4', '6', '8') THEN 'web' ELSE 'books' END
+        AS domain, lang, source,
+        greatest(len(regexp_split_to_array(trim(coalesce(text, ''), ' '), '[ \\t-\\r]+')), 1)::BIGINT AS n_tokens
+    FROM documents),
+leaf AS (
+    SELECT domain, lang, source, sum(n_tokens)::BIGINT AS tokens,
+        CASE WHEN {used} THEN sum(n_tokens)::BIGINT * {mixture.epochs} ELSE 0 END AS room
+    FROM doc GROUP BY domain, lang, source),
+{", ".join(filled(depth) for depth in range(len(LEVELS)))},
+plan AS (
+    SELECT leaf.domain, leaf.lang, leaf.source, given // tokens AS whole, given % tokens AS part
+    FROM fill2 JOIN leaf ON {of_leaf} WHERE given > 0),
+used AS (SELECT doc.*, whole, part FROM doc JOIN plan ON {same}),
+placed AS (
+    SELECT *, ('0x' || substr(md5('{mixture.seed}:' || whole || ':' || doc_id), 1, 10))::BIGINT AS place FROM used WHERE part > 0),
+begun AS (
+    SELECT *, coalesce(sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY place, doc_id, n_tokens
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before FROM placed)
+SELECT doc_id, domain, lang, source, n_tokens, e::INT AS epoch, n_tokens AS used_tokens
+FROM used, unnest(range(0, whole)) AS t(e)
+UNION ALL
+SELECT doc_id, domain, lang, source, n_tokens, whole::INT, least(n_tokens, part - before) FROM begun WHERE before < part
+"""
+
+
 SQL: dict[str, str] = {
+    "op2_embedding_lsh": NEAR_VECTORS,
+    "op10_mixture": _mixture(),
     "op11_decontamination": DECONTAMINATION,
     "op12_prefix_trie": PREFIX_TRIE,
     "op13_vector_codes": _vector_codes(),
