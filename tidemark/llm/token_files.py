@@ -32,6 +32,8 @@ from tidemark.session import shared_folder
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 0
+#: Bytes of units that a worker remembers: more than elsewhere, as this job holds little else.
+REMEMBERED_BYTES = 240_000_000
 #: Documents of a file, until their square root is more.
 DOCUMENTS = 4_000
 #: Bytes of texts that are cut together: the more, the fewer distinct units for each.
@@ -137,6 +139,13 @@ class TokenReader:
             parts.append(unpack(raw[begin:end], count, self.bits))
         return np.concatenate(parts)[first - low * self.block : last - low * self.block]
 
+    def documents(self, first: int, last: int) -> list[bytes]:
+        """Ids of documents that follow each other, as little-endian unsigned 32-bit integers, from one read."""
+        begin = int(self.starts[first])
+        data = self.read(begin, int(self.starts[last])).astype("<u4").tobytes()
+        ends = (4 * (self.starts[first : last + 1] - begin)).tolist()
+        return [data[a:b] for a, b in zip(ends, ends[1:], strict=False)]
+
     def document(self, number: int) -> np.ndarray:
         return self.read(int(self.starts[number]), int(self.starts[number + 1]))
 
@@ -157,7 +166,7 @@ class TextEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.size = self.tokenizer.get_vocab_size()
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
-        self.memory = PieceMemory(self._encode)
+        self.memory = PieceMemory(self._encode, REMEMBERED_BYTES)
 
     def _encode(self, pieces: list[str]) -> Iterator[bytes]:
         for start in range(0, len(pieces), 10_000):
@@ -249,7 +258,7 @@ def read_token_files(files: DataFrame) -> DataFrame:
                     reader = TokenReader(source)
                     for low in range(0, len(reader.doc_ids), 200):
                         high = min(low + 200, len(reader.doc_ids))
-                        ids = [reader.document(i).astype("<u4").tobytes() for i in range(low, high)]
+                        ids = reader.documents(low, high)
                         yield pa.RecordBatch.from_arrays(
                             [
                                 pa.array(reader.doc_ids[low:high]),
