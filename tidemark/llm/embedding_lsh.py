@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from tidemark.llm.cells import CELL, into_cells, spanning
 from tidemark.llm.components import components
@@ -76,9 +77,10 @@ class Tables:
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array, dimension: int) -> np.ndarray:
-    """Unit vectors of a binary column of doubles."""
+    """Unit vectors, in doubles, of a binary column of components in their table's precision."""
     joined = b"".join(column.to_pylist())
-    vectors = np.frombuffer(joined, np.float64).reshape(-1, dimension)
+    single = len(joined) == 4 * dimension * len(column)
+    vectors = np.frombuffer(joined, np.float32 if single else np.float64).reshape(-1, dimension).astype(np.float64)
     # A largest component of one first, so that neither tiny nor huge vectors lose their length.
     scaled = vectors / np.abs(vectors).max(axis=1, keepdims=True)
     return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
@@ -92,13 +94,20 @@ def usable(vectors: DataFrame, id_column: str, vector_column: str) -> DataFrame:
     return vectors.select(known_id(id_column).alias("id"), vector.alias("vector")).filter(finite & nonzero)
 
 
-def _pack(rows: DataFrame) -> DataFrame:
+def _width(vectors: DataFrame, vector_column: str) -> int:
+    """Bytes of a component: those of a float are enough where the table holds floats."""
+    given = vectors.select(F.col(vector_column)).schema[0].dataType
+    return 4 if isinstance(getattr(given, "elementType", None), FloatType) else 8
+
+
+def _pack(rows: DataFrame, width: int) -> DataFrame:
     """The same rows with ``vector`` as bytes, grouped cheaply and sent to numpy as they are."""
+    kind = np.float32 if width == 4 else np.float64
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column(1)
-            flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64) + 0.0  # no negative zero
+            flat = lists.flatten().to_numpy(zero_copy_only=False).astype(kind) + kind(0)  # no negative zero
             ends = np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))
             parts = np.split(flat, ends[:-1]) if len(ends) else []
             packed = pa.array([p.tobytes() for p in parts], pa.binary())
@@ -189,15 +198,16 @@ def near_vectors(
     smallest and is returned as null; repeated rows count as copies. An empty table gives an empty
     result. Columns other than the two are not read.
     """
-    packed = stored(_pack(usable(vectors, id_column, vector_column)), "vectors")
+    width = _width(vectors, vector_column)
+    packed = stored(_pack(usable(vectors, id_column, vector_column), width), "vectors")
     # A class has a number of its own, written once: ids may be missing or repeated.
     grouped = packed.groupBy("vector").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"))
     classes = stored(grouped.withColumn("node", F.monotonically_increasing_id()), "vector-classes")
-    lengths = classes.groupBy((F.length("vector") / 8).cast("int").alias("dimension")).agg(F.count(F.lit(1)).alias("n"))
+    lengths = classes.groupBy((F.length("vector") / width).cast("int").alias("dimension")).agg(F.count(F.lit(1)).alias("n"))
     found = None
     for dimension, n in ((r["dimension"], r["n"]) for r in lengths.filter("n > 1").collect()):
         sized = Tables.sized(n, dimension, cosine, recall)
-        same = classes.filter(F.length("vector") == 8 * dimension).select("node", "vector", "copies")
+        same = classes.filter(F.length("vector") == width * dimension).select("node", "vector", "copies")
         part = _links(same, sized, cosine)
         found = part if found is None else found.unionByName(part)
     if found is None:
