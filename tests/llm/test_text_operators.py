@@ -39,10 +39,11 @@ def alike(a, b):
 @pytest.mark.parametrize("table", ["odd", "sample"])
 def test_winnowing(request, table):
     docs = request.getfixturevalue(table)
-    rows = sorted((-1 if r.doc_id is None else r.doc_id, r.text or "") for r in docs.collect())
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    rows = sorted(((-1 if r.doc_id is None else r.doc_id, r.h, r.text) for r in texts.withColumn("h", F.xxhash64("text")).collect()))
     wanted = []
-    for n, (i, text) in enumerate(rows):
-        after = rows[(n + 1) % len(rows)][1]
+    for n, (i, _, text) in enumerate(rows):
+        after = rows[(n + 1) % len(rows)][2]
         half = len(text) // 2
         edited = text[: len(text) - half] + after[:half]
         kept, other, following = plain_winnow(text), plain_winnow(edited), plain_winnow(after)

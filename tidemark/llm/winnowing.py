@@ -16,8 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.ranges import id_bounds, range_of
-from tidemark.llm.tables import given_id, known_id
+from tidemark.llm.ranges import begins, place_bounds, place_of, range_of
+from tidemark.llm.tables import NO_ID, given_id, known_id
 
 GRAM = 16
 #: Hashes in a window: a power of two.
@@ -117,33 +117,37 @@ def digest(kept: Column) -> Column:
 def with_next(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``text`` and ``next_text``, that of the next document in ascending id, after the last the first.
 
-    Documents are dealt by ranges of ids. The first document of a range is copied to the range
-    before, so that every row finds its next one in its own range, after one shuffle of the texts.
-    Equal ids are ordered by their texts; a missing id comes first; null texts count as empty.
+    Documents are dealt by ranges of ids, and of a frequent id by ranges of a hash of the text. The
+    first document of a range is copied to the range before, so that every row finds its next one in
+    its own range, after one shuffle of the texts. Equal ids are ordered by that hash and their texts;
+    a missing id comes first; null texts count as empty.
     """
-    rows = docs.select(
-        known_id("doc_id").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
-    )
-    ids = rows.select("doc_id")
-    bounds = id_bounds(ids, "doc_id")
-    first = ids.agg(F.min("doc_id")).first()[0]
-    own = range_of(F.col("doc_id"), bounds)
-    place = [F.struct(F.col("own").alias("range"), F.lit(0).alias("copy"))]
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = docs.select(known_id("doc_id").alias("doc_id"), text.alias("text")).withColumn("content", F.xxhash64("text"))
+    bounds = place_bounds(rows, "doc_id", "content")
+    smallest = rows.agg(F.min("doc_id").alias("doc_id")).first()["doc_id"]
+    # Asked of the column as it is, so that the scan can leave out other rows.
+    leading = F.col("doc_id") == F.lit(smallest).cast("long")
+    leading = leading | F.col("doc_id").isNull() if smallest == NO_ID else leading
+    first = docs.filter(leading).agg(F.min(F.xxhash64(text)).alias("content")).first()["content"]
+    placed = rows.withColumn("at", place_of(F.col("doc_id"), F.col("content"))).withColumn("own", range_of(F.col("at"), bounds))
+    copies = [F.struct(F.col("own").alias("range"), F.lit(0).alias("copy"))]
     if bounds:
-        begins = F.get(F.lit(bounds) if len(bounds) > 1 else F.array(F.lit(bounds[0])), F.col("own") - 1) == F.col("doc_id")
-        place.append(F.when(begins, F.struct((F.col("own") - 1).alias("range"), F.lit(1).alias("copy"))))
-    wraps = F.col("doc_id") == F.lit(first).cast("long")
-    place.append(F.when(wraps, F.struct(F.lit(len(bounds)).alias("range"), F.lit(1).alias("copy"))))
-    dealt = rows.withColumn("own", own).select(
-        "doc_id", "text", F.explode(F.filter(F.array(*place), lambda p: p.isNotNull())).alias("place")
+        bound = F.get(F.lit(bounds) if len(bounds) > 1 else F.array(F.lit(bounds[0])), F.col("own") - 1)
+        opens = (F.col("own") > 0) & begins(F.col("at"), bound)
+        copies.append(F.when(opens, F.struct((F.col("own") - 1).alias("range"), F.lit(1).alias("copy"))))
+    wraps = (F.col("doc_id") == F.lit(smallest).cast("long")) & (F.col("content") == F.lit(first).cast("long"))
+    copies.append(F.when(wraps, F.struct(F.lit(len(bounds)).alias("range"), F.lit(1).alias("copy"))))
+    dealt = placed.select(
+        "doc_id", "content", "text", F.explode(F.filter(F.array(*copies), lambda c: c.isNotNull())).alias("place")
     )
-    flat = dealt.select("doc_id", "text", "place.range", "place.copy")
+    flat = dealt.select("doc_id", "content", "text", "place.range", "place.copy")
     return flat.withColumn("next_text", F.lead("text").over(_in_order()))
 
 
 def _in_order() -> Window:
     """Within a range; the copy of the next range's first document comes last."""
-    return Window.partitionBy("range").orderBy("copy", "doc_id", "text")
+    return Window.partitionBy("range").orderBy("copy", "doc_id", "content", "text")
 
 
 def _kept(value: Column, position: Column) -> Column:
@@ -186,6 +190,9 @@ def compare_edited(docs: DataFrame, gram: int = GRAM, window: int = WINDOW) -> D
     Per row of ``docs`` (doc_id, text): ``doc_id``, ``n_chars``, ``edited_text``, ``kept``,
     ``edited_kept``, ``near_edited``, ``near_next``. The edited text has its last half replaced by as
     many first characters of the next document, or all it has. An only document is its own next.
+    Null texts count as empty, whose fingerprints keep nothing; a missing id comes before all others
+    and is returned as null; rows that share an id are ordered by their texts' hashes, repeated rows
+    have equal fingerprints. An empty table gives an empty result. Other columns are not read.
     """
     half = F.floor(F.length("text") / 2).cast("int")
     return (
