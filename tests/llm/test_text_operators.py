@@ -22,8 +22,16 @@ def plain_winnow(text, k=16, window=16):
     data = (text or "").encode()
     if not data:
         return []
-    signed = (xxhash.xxh64_intdigest(data[i : i + k], seed=42) for i in range(max(1, len(data) - k + 1)))
-    hashes = [(h - (1 << 64) if h >> 63 else h) >> 16 for h in signed]
+    # Rolled a byte at a time: those beyond a short text's end are zero.
+    numbers = [xxhash.xxh64_intdigest(bytes([b]), seed=42) for b in data] + [0] * max(0, k - len(data))
+    rolled, h = [], 0
+    for i, number in enumerate(numbers):
+        h = (h << 1 ^ number) & (1 << 64) - 1
+        if i >= k:
+            h ^= numbers[i - k] << k & (1 << 64) - 1
+        if i >= k - 1:
+            rolled.append(h)
+    hashes = [(h - (1 << 64) if h >> 63 else h) >> 16 for h in rolled]
     kept = set()
     for i in range(max(1, len(hashes) - window + 1)):
         least = min(hashes[i : i + window])

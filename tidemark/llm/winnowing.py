@@ -1,7 +1,10 @@
 """Document fingerprints by winnowing, in column expressions alone.
 
-The hash of every ``GRAM`` bytes of a text (UTF-8) is taken as the window rolls over it, from the bytes in
-place: each costs a constant, wherever it is. Of every ``WINDOW`` hashes in a row the smallest is
+The hash of every ``GRAM`` bytes of a text (UTF-8) rolls over it: a byte has a random number, which is shifted
+by one bit for every byte that follows it, and a gram is the exclusive or of its bytes. All places are
+rolled at once by doubling: a gram of 2n bytes at a place is the one of n bytes there, shifted by
+n bits, and the one of n bytes n places on. Bits that grams of unlike bytes would share fall away with those of the
+position, so each bit of a hash depends on every byte. Of every ``WINDOW`` hashes in a row the smallest is
 kept, of equal ones the rightmost, with its position. So two texts that share ``GRAM + WINDOW - 1``
 bytes share a kept hash, and no match shorter than ``GRAM`` is seen. (Schleimer, Wilkerson and Aiken,
 "Winnowing: Local Algorithms for Document Fingerprinting", 2003.)
@@ -41,6 +44,8 @@ def winnow(text: Column, gram: int = GRAM, window: int = WINDOW) -> Column:
     """
     if window & (window - 1) or SPAN + window > 1 << _PLACE_BITS:
         raise ValueError("the window must be a power of two that fits a span")
+    if gram & (gram - 1) or not 0 < gram <= _PLACE_BITS:
+        raise ValueError(f"the gram must be a power of two up to {_PLACE_BITS}")
     data = F.coalesce(text.cast("binary"), F.lit("").cast("binary"))
 
     def of_bytes(data: Column) -> Column:
@@ -52,15 +57,14 @@ def winnow(text: Column, gram: int = GRAM, window: int = WINDOW) -> Column:
             end = F.least(grams, first + SPAN + window - 1)
 
             # Low bits fall along the span, so that of equal hashes the rightmost is the smallest number.
-            def packed_from(begin: Column) -> Column:
+            def packed_from(rolled: Column) -> Column:
                 return F.transform(
-                    F.sequence(F.lit(_PLACES), _PLACES + 1 + first - end, F.lit(-1)),
-                    lambda low: F.xxhash64(F.substr(data, begin - low, F.lit(gram)))
-                    .bitwiseAND(F.lit(~_PLACES))
-                    .bitwiseOR(low.cast("long")),
+                    F.slice(rolled, 1, end - first),
+                    lambda h, i: h.bitwiseAND(F.lit(~_PLACES)).bitwiseOR((_PLACES - i).cast("long")),
                 )
 
-            packed = _let(first + (_PLACES + 1), packed_from)
+            last_byte = F.least(end + (gram - 1), F.octet_length(data))
+            packed = _let(_rolled(data, first + 1, last_byte, gram), packed_from)
             step, least = 1, packed
             while step < window:
                 least = F.transform(F.array(least), _halving(step))[0]
@@ -89,6 +93,26 @@ def winnow(text: Column, gram: int = GRAM, window: int = WINDOW) -> Column:
     return F.when(F.octet_length(data) > 0, _let(data, of_bytes)).otherwise(empty)
 
 
+def _rolled(data: Column, first: Column, last: Column, gram: int) -> Column:
+    """Hash of the ``gram`` bytes from each place on, ``first`` to ``last``; beyond the last there are none."""
+    values = F.transform(F.sequence(first, last), lambda i: F.xxhash64(F.substr(data, i, F.lit(1))))
+    bytes_done = 1
+    while bytes_done < gram:
+        values = F.transform(F.array(values), _doubling(bytes_done))[0]
+        bytes_done *= 2
+    return values
+
+
+def _doubling(done: int):
+    def twice(values: Column) -> Column:
+        following = F.slice(values, done + 1, F.greatest(F.size(values) - done, F.lit(0)))
+        return F.zip_with(
+            values, following, lambda a, b: F.shiftleft(a, done).bitwiseXOR(F.coalesce(b, F.lit(0).cast("long")))
+        )
+
+    return twice
+
+
 def _halving(step: int):
     def smaller(values: Column) -> Column:
         # Beyond the end there is nothing to compare with; least() leaves nulls out.
