@@ -94,8 +94,14 @@ def winnow(text: Column, gram: int = GRAM, window: int = WINDOW) -> Column:
 
 
 def _rolled(data: Column, first: Column, last: Column, gram: int) -> Column:
-    """Hash of the ``gram`` bytes from each place on, ``first`` to ``last``; beyond the last there are none."""
-    values = F.transform(F.sequence(first, last), lambda i: F.xxhash64(F.substr(data, i, F.lit(1))))
+    """Hash of the ``gram`` bytes from each place on, ``first`` to ``last``, null where fewer follow.
+
+    The bytes that a short text lacks count as zero, so that its first place has a hash.
+    """
+    numbers = F.transform(F.sequence(first, last), lambda i: F.xxhash64(F.substr(data, i, F.lit(1))))
+    lacking = F.lit(gram - 1) - (last - first)
+    zeros = F.array_repeat(F.lit(0).cast("long"), lacking)
+    values = F.when(lacking > 0, F.concat(numbers, zeros)).otherwise(numbers)
     bytes_done = 1
     while bytes_done < gram:
         values = F.transform(F.array(values), _doubling(bytes_done))[0]
@@ -106,9 +112,7 @@ def _rolled(data: Column, first: Column, last: Column, gram: int) -> Column:
 def _doubling(done: int):
     def twice(values: Column) -> Column:
         following = F.slice(values, done + 1, F.greatest(F.size(values) - done, F.lit(0)))
-        return F.zip_with(
-            values, following, lambda a, b: F.shiftleft(a, done).bitwiseXOR(F.coalesce(b, F.lit(0).cast("long")))
-        )
+        return F.zip_with(values, following, lambda a, b: F.shiftleft(a, done).bitwiseXOR(b))
 
     return twice
 
