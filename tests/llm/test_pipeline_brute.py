@@ -1,0 +1,94 @@
+"""The pipeline's rows against the same five stages in plain Python."""
+
+import ast
+import hashlib
+import re
+import zlib
+
+import numpy as np
+import pytest
+import tiktoken
+from public_tokenizers import PATTERN
+from public_tokenizers import path as tokenizer_path
+from pyspark.sql import functions as F
+from tiktoken.load import load_tiktoken_bpe
+
+import corpus_pipeline as pipeline
+from test_learned_and_stored import plain_mix
+from test_near import wanted_groups
+from tidemark.llm import mixture as mx
+from tidemark.llm import quality_rff as q
+from tidemark.llm import secret_ledger as s
+from tidemark.llm.labelled import means
+
+
+def test_ridge_weights_and_levels(spark, sf_dir, sample):
+    docs = {r.doc_id: r.text or "" for r in sample.collect()}
+    features = q.document_statistics(sample)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    known = means(labels, "quality").filter(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) != 0)
+    model = q.fit(features, known)
+    marks = {r.doc_id: r.quality for r in labels.collect() if r.quality is not None}
+    x = {i: q.statistics(text) for i, text in docs.items()}
+    learned = {i: y for i, y in marks.items() if i in x and zlib.crc32(str(i).encode()) % 5}
+    ids = sorted(learned)
+    hashed = spark.createDataFrame([(i,) for i in ids], "doc_id long")
+    fold = {r.doc_id: r.f for r in hashed.withColumn("f", F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(q.CALIBRATE))).collect()}
+    own, aside = [i for i in ids if fold[i]], [i for i in ids if not fold[i]]
+    table, y = np.array([x[i] for i in own]), np.array([learned[i] for i in own], float)
+    center, spread = table.mean(0), table.std(0)
+    scale = np.where(spread > 1e-9, spread, 1.0)
+    assert np.allclose(model.center, center) and np.allclose(model.scale, scale, rtol=1e-5)
+    phi = q.expand((table - center) / scale)
+    penalty = np.sqrt(q.RIDGE * len(own)) * np.eye(phi.shape[1])[: q.FEATURES]  # the constant is free
+    wanted = np.linalg.lstsq(np.vstack([phi, penalty]), np.append(y, np.zeros(q.FEATURES)), rcond=None)[0]
+    assert np.allclose(phi @ model.weights, phi @ wanted, atol=1e-5)
+
+    raw = model.raw(np.array([x[i] for i in aside]))
+    marked = np.array([learned[i] for i in aside], float)
+    # The isotonic mean at a place: the largest, over starts up to it, of the smallest mean up to any end from it.
+    places = sorted(set(raw))
+    sums = np.concatenate([[0], np.cumsum([marked[raw == r].sum() for r in places])])
+    counts = np.concatenate([[0], np.cumsum([(raw == r).sum() for r in places])])
+    n, pools = len(places), {}
+    for k, place in enumerate(places):
+        level = max(min((sums[b] - sums[a]) / (counts[b] - counts[a]) for b in range(k + 1, n + 1)) for a in range(k + 1))
+        pools.setdefault(round(level, 9), []).extend([place] * int(counts[k + 1] - counts[k]))
+    assert n > 5 and model.levels == pytest.approx(sorted(pools), abs=1e-8)
+    assert model.knots == pytest.approx([np.mean(pools[level]) for level in sorted(pools)])
+
+
+BASE = [
+    (re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A), 2, 8),
+    (re.compile("AKIA[A-Z0-9]+"), 0, 16),
+    (re.compile("[0-9a-f]+"), 0, 32),
+]
+
+
+def test_rows_of_the_pipeline(spark, sf_dir, sample):
+    docs = {r.doc_id: r for r in sample.collect()}
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    scores = {r.doc_id: r.score for r in q.score_quality(sample, labels).collect()}
+    good = [i for i in docs if scores[i] >= q.ACCEPT]
+    kept = {c for _, _, c in wanted_groups([(i, docs[i].text) for i in good])}
+    # Of rows with one id each, the smallest id of a group is the one that stays.
+    assert kept <= set(good) and len(kept) < len(docs)
+    left = sample.filter(F.col("doc_id").isin(sorted(kept)))
+    cleaned = {r.doc_id: r.text for r in s.clean(left).collect()}
+    for i in kept:
+        before, after = docs[i].text or "", cleaned[i] or ""
+        found = [m.span() for p, g, least in BASE for m in p.finditer(before) if len(m[g]) >= least]
+        assert not any(len(m[g]) >= least for p, g, least in BASE for m in p.finditer(after))
+        # What is left stood there before, in this order, with something taken out at each placeholder.
+        assert re.fullmatch("(?s:.+?)".join(map(re.escape, after.split("[redacted]"))), before)
+        assert not found or "[redacted]" in after
+    uses = plain_mix([(i, cleaned[i], docs[i].lang, docs[i].source) for i in kept], mx.DEFAULT)
+    ranks = load_tiktoken_bpe(tokenizer_path("byte_bpe_50k.tiktoken"))
+    encoding = tiktoken.Encoding("plain", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    wanted = []
+    for use in uses:
+        doc_id = ast.literal_eval(use)[0]
+        ids = encoding.encode_ordinary(cleaned[doc_id] or "")
+        wanted.append((doc_id, len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()))
+    found = [(r.doc_id, r.n_tokens, hashlib.sha256(bytes(r.ids)).hexdigest()) for r in pipeline.run(spark, sf_dir).collect()]
+    assert sorted(found) == sorted(wanted)
