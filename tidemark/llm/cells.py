@@ -16,8 +16,8 @@ BLOCK = 1000
 CELL = ("bucket", "cell_a", "cell_b")
 
 
-def into_cells(rows: DataFrame, id_column: str, block: int = BLOCK) -> DataFrame:
-    """``rows`` (with a long column ``bucket``) as cells, sorted so that a cell's rows follow each other.
+def dealt(rows: DataFrame, id_column: str, block: int = BLOCK) -> DataFrame:
+    """``rows`` (with a long column ``bucket``), each once per cell that it goes to.
 
     Adds ``cell_a`` and ``cell_b``, the two blocks a cell compares, and ``side``, the row's own one.
     Buckets of one row are left out, having nothing to compare.
@@ -25,7 +25,7 @@ def into_cells(rows: DataFrame, id_column: str, block: int = BLOCK) -> DataFrame
     sizes = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     blocks = sizes.select("bucket", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64(F.col(id_column), F.lit("block")), F.col("blocks")).cast("int")
-    dealt = (
+    return (
         rows.join(blocks, "bucket")
         .withColumn("side", own)
         .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
@@ -33,7 +33,16 @@ def into_cells(rows: DataFrame, id_column: str, block: int = BLOCK) -> DataFrame
         .withColumn("cell_b", F.greatest("side", "other"))
         .drop("other", "blocks")
     )
-    return dealt.repartition(*CELL).sortWithinPartitions(*CELL)
+
+
+def gathered(rows: DataFrame) -> DataFrame:
+    """Dealt rows, sorted so that a cell's rows follow each other."""
+    return rows.repartition(*CELL).sortWithinPartitions(*CELL)
+
+
+def into_cells(rows: DataFrame, id_column: str, block: int = BLOCK) -> DataFrame:
+    """``rows`` as cells that are ready to be compared."""
+    return gathered(dealt(rows, id_column, block))
 
 
 def spanning(left: np.ndarray, right: np.ndarray, nodes: int) -> tuple[np.ndarray, np.ndarray]:

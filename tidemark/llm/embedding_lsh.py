@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import FloatType
 
-from tidemark.llm.cells import CELL, into_cells, spanning
+from tidemark.llm.cells import CELL, dealt, gathered, spanning
 from tidemark.llm.components import components
 from tidemark.llm.tables import given_id, known_id, stored, whole_groups
 
@@ -124,8 +124,8 @@ def _hash(batches: Iterator[pa.RecordBatch], sized: Tables) -> Iterator[pa.Recor
             keys = sized.keys(_matrix(batch.column(1), sized.dimension), drawn)
             for table in range(sized.tables):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys[:, table]), pa.array(np.full(len(keys), table, np.int32)), *batch.columns],
-                    ["bucket", "hash_table", "node", "vector", "copies"],
+                    [pa.array(keys[:, table]), pa.array(np.full(len(keys), table, np.int32)), batch.column(0)],
+                    ["bucket", "hash_table", "node"],
                 )
 
 
@@ -243,8 +243,7 @@ def near_vectors(
 
 
 def _links(classes: DataFrame, sized: Tables, cosine: float) -> DataFrame:
-    buckets = classes.mapInArrow(
-        lambda b: _hash(b, sized), "bucket long, hash_table int, node long, vector binary, copies long"
-    )
-    cells = into_cells(buckets, "node")
+    # Numbers alone are dealt; vectors join the rows that have something to compare.
+    buckets = classes.select("node", "vector").mapInArrow(lambda b: _hash(b, sized), "bucket long, hash_table int, node long")
+    cells = gathered(dealt(buckets, "node").join(classes, "node"))
     return cells.mapInArrow(lambda b: _compare(b, sized, cosine), "a long, b long, n long")
