@@ -9,7 +9,7 @@ from tidemark.contract import BRONZE, LIQUIDITY, REJECTED, SILVER, TABLES
 from tidemark.operators import medallion as m
 from tidemark.operators.compact import compact_partitions
 from tidemark.operators.gold import hourly_liquidity, in_hours
-from tidemark.operators.layout import order_violations, read_places
+from tidemark.operators.layout import FILE, PLACE, order_violations, read_places
 from tidemark.plans.medallion_batch import build_bronze, build_silver
 from tidemark.sources.tables import (
     add_partitions,
@@ -226,3 +226,21 @@ def test_compaction_refuses_live_and_unpartitioned_tables(spark, tmp_path):
         compact_partitions(spark, str(tmp_path), str(tmp_path), SILVER)
     with pytest.raises(ValueError, match="partitioned"):
         compact_partitions(spark, str(tmp_path), f"{tmp_path}/dst", REJECTED)
+
+
+def test_order_in_files_without_a_window_per_file(spark, tmp_path):
+    # Two files of rows in a shuffled order: each row is compared with the one before it in its own file,
+    # by a join rather than a window that holds a whole file in one task.
+    for number in range(2):
+        rows = [(at((i * 37 + number) % 500), f"t{(i * 13) % 11}") for i in range(400)]
+        listed = spark.createDataFrame(rows, "us long, transaction_id string")
+        listed = listed.select(F.timestamp_micros("us").alias("event_time"), "transaction_id")
+        listed.coalesce(1).write.mode("append").parquet(f"{tmp_path}/shuffled")
+    places = read_places(spark, f"{tmp_path}/shuffled", SILVER)
+    expected = 0
+    for (file,) in places.select(FILE).distinct().collect():
+        listed = [tuple(r) for r in places.where(F.col(FILE) == file).sort(PLACE).select("event_time", "transaction_id").collect()]
+        expected += sum(a > b for a, b in zip(listed, listed[1:]))
+    found = order_violations(places, SILVER)
+    assert "Window" not in found._jdf.queryExecution().executedPlan().toString()
+    assert found.count() == expected > 0

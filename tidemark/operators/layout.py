@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.contract import TableSpec
@@ -21,8 +21,10 @@ def read_places(spark: SparkSession, root: str, spec: TableSpec) -> DataFrame:
 def order_violations(places: DataFrame, spec: TableSpec) -> DataFrame:
     """Rows that stand right behind a greater one of the same file, in the order the table is declared to have.
 
-    Missing values come first. A window holds the rows of one file, whose size is bounded.
+    Missing values come first. Each row meets the one before it by a join on file and place, so that
+    no task holds a whole file, however large.
     """
     own = F.struct(*spec.sort_by)
-    before = F.lag(own).over(Window.partitionBy(FILE).orderBy(PLACE))
-    return places.withColumn("_before", before).where(F.col("_before") > own)
+    before = places.select(FILE, (F.col(PLACE) + 1).alias(PLACE), own.alias("_before"))
+    paired = places.join(before, [FILE, PLACE]).select(*places.columns, "_before")
+    return paired.where(F.col("_before") > own)
