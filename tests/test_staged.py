@@ -1,0 +1,18 @@
+"""Staged streams whose parts arrive in many files: each part is still one micro-batch."""
+
+import glob
+
+from tidemark.plans.driver_queries import DELAY_SECONDS, _Staged
+from tidemark.streaming.medallion import await_all, start_silver
+
+
+def test_spread_part_is_one_batch_of_many_files(spark, sf_dir):
+    staged = _Staged(spark, sf_dir, DELAY_SECONDS, spread=True)
+    for part in range(2):
+        rows = spark.read.parquet(f"{staged.folder}/part={part}").count()
+        before = len(glob.glob(f"{staged.source}/*.parquet"))
+        query = start_silver(staged.arrive(), staged.config, available_now=True)
+        await_all([query])
+        assert len(glob.glob(f"{staged.source}/*.parquet")) - before > 1
+        batches = [p for p in query.recentProgress if p["numInputRows"] > 0]
+        assert [p["numInputRows"] for p in batches] == [rows]

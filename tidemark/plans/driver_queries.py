@@ -461,24 +461,31 @@ def staged_events(spark: SparkSession, sf_dir: str, delay_seconds: int = 0) -> s
         part = F.call_function("div", (arrival - span["first"]) * STAGED_FILES, F.lit(span["last"] - span["first"] + 1))
         arrived = events.withColumn("part", F.coalesce(part, F.lit(0).cast("long")).cast("int"))
         _stored[key] = shared_folder(spark, "staged")
-        arrived.repartitionById(STAGED_FILES, "part").write.partitionBy("part").parquet(_stored[key])
+        # Every part in as many files as the session has cores, so that many tasks read and copy it.
+        spread = arrived.repartition(spark.sparkContext.defaultParallelism)
+        spread.write.partitionBy("part").parquet(_stored[key])
     return _stored[key]
 
 
 class _Staged:
-    """The staged files, let into a stream's source folder one at a time."""
+    """The staged parts, let into a stream's source folder one at a time.
 
-    def __init__(self, spark: SparkSession, sf_dir: str, delay_seconds: int = 0):
+    A part arrives as one file, a micro-batch of its own however many parts arrive before a run; or,
+    ``spread``, in many files that one micro-batch reads in many tasks, which holds as long as one
+    part arrives before each run.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, delay_seconds: int = 0, spread: bool = False):
         self.spark, self.folder = spark, staged_events(spark, sf_dir, delay_seconds)
         self.source, self.config = shared_folder(spark, "arrived"), _stream_config(spark)
-        self.files = 0
+        self.files, self.spread = 0, spread
 
     def arrive(self, files: int = 1) -> DataFrame:
         for _ in range(files):
             rows = self.spark.read.schema(CONTRACT).parquet(f"{self.folder}/part={self.files}")
-            rows.coalesce(1).write.mode("append").parquet(self.source)
+            (rows if self.spread else rows.coalesce(1)).write.mode("append").parquet(self.source)
             self.files += 1
-        return read_transactions_stream(self.spark, self.source, max_files=1)
+        return read_transactions_stream(self.spark, self.source, max_files=None if self.spread else 1)
 
 
 @_query
@@ -487,7 +494,7 @@ def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Several files make as many micro-batches, so the watermark moves while the streams run.
     """
-    staged = _Staged(spark, sf_dir, DELAY_SECONDS)
+    staged = _Staged(spark, sf_dir, DELAY_SECONDS, spread=True)
     for _ in range(STAGED_FILES):
         start_medallion(staged.arrive(), staged.config, wait=True, available_now=True)
     bronze = read_layered(spark, staged.config.warehouse, BRONZE)
@@ -511,7 +518,7 @@ def stream_restarted_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def stream_open_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows that a stream still holds after its last batch, read from the state in its checkpoint."""
-    staged = _Staged(spark, sf_dir, DELAY_SECONDS)
+    staged = _Staged(spark, sf_dir, DELAY_SECONDS, spread=True)
     for _ in range(STAGED_FILES):
         await_all([start_silver(staged.arrive(), staged.config, available_now=True)])
     return open_windows(spark, staged.config)
