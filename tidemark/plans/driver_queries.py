@@ -457,13 +457,17 @@ def staged_events(spark: SparkSession, sf_dir: str, delay_seconds: int = 0) -> s
         digit = F.substring("transaction_id", -1, 1).cast("int")
         delay = F.when(digit.isin(*LATE_DIGITS), delay_seconds * 1_000_000).otherwise(0)
         arrival = F.when(m.is_valid(), F.col(m.EPOCH) + delay)
-        span = events.agg(F.min(arrival).alias("first"), F.max(arrival).alias("last")).first()
+        span = events.agg(
+            F.min(arrival).alias("first"), F.max(arrival).alias("last"), F.count(F.lit(1)).alias("rows")
+        ).first()
         part = F.call_function("div", (arrival - span["first"]) * STAGED_FILES, F.lit(span["last"] - span["first"] + 1))
         arrived = events.withColumn("part", F.coalesce(part, F.lit(0).cast("long")).cast("int"))
         _stored[key] = shared_folder(spark, "staged")
-        # Every part in as many files as the session has cores, so that many tasks read and copy it.
-        spread = arrived.repartition(spark.sparkContext.defaultParallelism)
-        spread.write.partitionBy("part").parquet(_stored[key])
+        # A part in about as many files as the session has cores, so that many tasks read and copy it;
+        # its rows keep their order, which compresses as well as one file.
+        per_file = -(-span["rows"] // (STAGED_FILES * spark.sparkContext.defaultParallelism))
+        writer = arrived.repartitionById(STAGED_FILES, "part").write.option("maxRecordsPerFile", max(per_file, 1))
+        writer.partitionBy("part").parquet(_stored[key])
     return _stored[key]
 
 
